@@ -10,26 +10,28 @@ from pyspark.sql import functions as F
 RECS_TYPE = "array<struct<productId:int,score:double>>"
 
 
-def top_k(df: DataFrame, key: str | Sequence[str], score: str, id: str, k: int) -> DataFrame:
-    """First k rows per key by score descending, then id; adds `rank`.
+def top_k(df: DataFrame, key: str | Sequence[str], score: str, id: str, k: int | None = None) -> DataFrame:
+    """First k rows per key by score descending, then id, or all of them; adds `rank`.
 
     The rank filter lets Spark cut each key to k rows before the shuffle, so a hot key
     sends k rows per task and no more.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = Window.partitionBy(*keys).orderBy(F.col(score).desc(), F.col(id).asc())
-    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = df.withColumn("rank", F.row_number().over(order))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def latest_n(
     ratings: DataFrame,
-    n: int,
+    n: int | None,
     key: str = "userId",
     order: Sequence[str] = ("timestamp", "productId", "score"),
 ) -> DataFrame:
-    """Newest n rows per key, all `order` columns descending; repeats are kept. Adds `seq` from 1."""
+    """Newest n rows per key, or all, by `order` descending; repeats are kept. Adds `seq` from 1."""
     newest = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
-    return ratings.withColumn("seq", F.row_number().over(newest)).where(F.col("seq") <= n)
+    ranked = ratings.withColumn("seq", F.row_number().over(newest))
+    return ranked if n is None else ranked.where(F.col("seq") <= n)
 
 
 def to_nested(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -30,3 +33,13 @@ def use_checkpoints(spark: SparkSession) -> bool:
     if sc.getCheckpointDir() is None and folder:
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir() is not None
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder. Without one, a temporary folder in local mode only."""
+    folder = shared_dir(spark)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
+        folder = tempfile.mkdtemp(prefix="shoprec-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
