@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shoprec.functions.scalars import DIGITS, norm
 from shoprec.operators.copies import expand_all, expand_top, group_copies
 from shoprec.operators.ranking import top_k
+from shoprec.session import keep
 
 MIN_SIM = 0.4
 BLOCK = 2000
@@ -149,7 +150,7 @@ def _similar_groups(
     points = _centres(groups, block, centres)
     if not len(points):
         return groups.select("sig", F.col("sig").alias("other"), F.lit(1.0).alias("score")).limit(0)
-    homes = _assign(groups, points)
+    homes = keep(_assign(groups, points))
     cells = homes.groupBy("cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n"))
     near = _search(homes.select("sig", "unit", "cell"), homes, cells, block, min_sim, k)
     widest = F.lit(float(np.arccos(max(-1.0, min_sim - _SIM_SLACK))))

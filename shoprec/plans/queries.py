@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoprec.functions.scalars import name_id, rounded
 from shoprec.operators import accounts, content, cooccur, factors, ranking, realtime, serving, stats, vectors
+from shoprec.session import keep
 from shoprec.sources import retail, text
 from shoprec.streaming import replay
 
@@ -181,7 +182,8 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     ratings = retail.ratings(spark, sf, order=True)
     events = ranking.latest_n(ratings, 1, order=retail.ORDER).drop("seq")
     recent = ranking.latest_n(ratings, realtime.RECENT, order=retail.ORDER)
-    return _as_text(realtime.score_events(events, recent, content_sim(spark, sf), ratings), "userId")
+    sims = keep(ranking.top_k(content_sim(spark, sf), "productId", "score", "recProductId"))
+    return _as_text(realtime.score_events(events, recent, sims, ratings), "userId")
 
 
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:

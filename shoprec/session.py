@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -35,6 +36,14 @@ def use_checkpoints(spark: SparkSession) -> bool:
     return sc.getCheckpointDir() is not None
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """A result that several later steps read: a checkpoint in the shared folder, which outlives
+    lost executors; without such a folder it is persisted."""
+    if use_checkpoints(df.sparkSession):
+        return df.checkpoint()
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder. Without one, a temporary folder in local mode only."""
     folder = shared_dir(spark)
