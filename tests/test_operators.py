@@ -118,7 +118,7 @@ def brute_cooccurrence(data):
 
 @pytest.mark.parametrize("chunk", [2, 1000])
 def test_cooccurrence_equals_plain_self_join_with_a_hot_user(ratings, monkeypatch, chunk):
-    monkeypatch.setattr(pairs.pairs_within, "__defaults__", ((), None, chunk))
+    monkeypatch.setattr(pairs.pairs_within, "__defaults__", ((), None, None, chunk))
     rng = random.Random(chunk)
     data = [(0, p) for p in range(25)] + [(rng.randrange(1, 8), rng.randrange(30)) for _ in range(90)]
     got = cooccur.cooccurrence(ratings(*[(u, p, 1.0) for u, p in data])).collect()
@@ -187,7 +187,7 @@ def skewed_tags(seed, n):
 
 @pytest.mark.parametrize("k", [None, 3])
 def test_content_equals_pairwise_cosine(spark, monkeypatch, k):
-    monkeypatch.setattr(pairs.pairs_within, "__defaults__", ((), None, 4))
+    monkeypatch.setattr(pairs.pairs_within, "__defaults__", ((), None, None, 4))
     monkeypatch.setattr("shoprec.operators.copies.CHUNK", 5)
     tags = skewed_tags(1, 60)
     got = content.content_sim(make_products(spark, tags), k=k)
