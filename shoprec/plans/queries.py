@@ -150,8 +150,7 @@ def latest_ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 def _live(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Per user the newest rating as an event, and all the others as history."""
-    ranked = ranking.latest_n(retail.ratings(spark, sf, order=True), None, order=retail.ORDER)
-    return ranked.where(F.col("seq") == 1).drop("seq"), ranked.where(F.col("seq") > 1).drop("seq")
+    return replay.live_and_history(retail.ratings(spark, sf, order=True))
 
 
 def rating_queue(spark: SparkSession, sf: str) -> DataFrame:
