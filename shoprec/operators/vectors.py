@@ -52,17 +52,27 @@ def _centres(groups: DataFrame, block: int, most: int) -> np.ndarray:
     return np.array([r.unit for r in rows], dtype=float)
 
 
-def _angles(units: pd.Series, centres: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(np.stack(units.to_numpy()) @ centres.T, -1.0, 1.0))
+def _angles_to(centres: np.ndarray):
+    """Function of unit vectors: their angles to all centres.
+
+    An inner function, as those handed to Spark below: they travel whole, and the workers
+    need not have this package.
+    """
+
+    def angles(units: pd.Series) -> np.ndarray:
+        return np.arccos(np.clip(np.stack(units.to_numpy()) @ centres.T, -1.0, 1.0))
+
+    return angles
 
 
 def _assign(groups: DataFrame, centres: np.ndarray) -> DataFrame:
     """Vectors with their cell and the angle to its centre."""
+    angles_of = _angles_to(centres)
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                angles = _angles(rows["unit"], centres)
+                angles = angles_of(rows["unit"])
                 cell = angles.argmin(axis=1)
                 yield rows.assign(cell=cell, angle=angles[np.arange(len(rows)), cell])
 
@@ -71,12 +81,13 @@ def _assign(groups: DataFrame, centres: np.ndarray) -> DataFrame:
 
 def _visits(queries: DataFrame, cells: DataFrame, centres: np.ndarray) -> DataFrame:
     """(sig, unit, cell) for each other cell that may hold a vector within `reach` of a query."""
+    angles_of = _angles_to(centres)
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if not len(rows):
                 continue
-            angles = _angles(rows["unit"], centres)
+            angles = angles_of(rows["unit"])
             own = rows["angle"].to_numpy()[:, None]
             reach = rows["reach"].to_numpy()[:, None]
             near = (angles - own) / 2 <= reach + _ANGLE_SLACK

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from shoprec.functions import scalars
@@ -388,3 +392,10 @@ def test_resolve_users(spark):
     names = spark.createDataFrame([("bob",), ("eve",)], "username string")
     assert rows(serving.resolve_users(names, users), "username", "userId") == [("bob", 2)]
     assert rows(serving.users_by_name(names, users), "userId") == [(2,)]
+
+
+@pytest.mark.parametrize("make", [lambda: vectors._matcher(0.4, 3), lambda: vectors._angles_to(np.eye(2))])
+def test_worker_functions_need_no_package_on_the_worker(make):
+    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'shoprec' not in sys.modules"
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(make()), cwd="/", env=environment, check=True)
