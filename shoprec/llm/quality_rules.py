@@ -100,52 +100,74 @@ def rules() -> dict[str, Column]:
     words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
     symbols, caps = F.col("n_symbols") / words, F.col("n_upper") / chars
     repeats, length = F.col("n_repeat_words") / words, F.col("word_chars") / words
+    variety = F.col("n_distinct") / words
     lines = F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))
     return {
         "symbols": vote(symbols < 0.05, symbols > 0.3),
         "capitals": vote(caps < 0.15, caps > 0.5),
         "repeated_words": vote(repeats < 0.1, repeats > 0.3),
-        "repeated_lines": vote(lines < 0.1, lines > 0.3),
-        "length": vote(F.col("n_words") >= 50, F.col("n_words") < 20),
+        "repeated_lines": vote(lines < 0.2, (lines > 0.5) & (F.col("n_lines") >= 5)),
         "word_length": vote((length >= 3) & (length <= 10), (length < 2) | (length > 15)),
-        "variety": vote(
-            F.col("n_distinct") / words > 0.2, (F.col("n_distinct") / words < 0.1) & (F.col("n_words") >= 100)
-        ),
+        "variety": vote(variety > 0.35, (variety < 0.25) & (F.col("n_words") >= 40)),
     }
 
 
-def posterior(prior: float, accuracy: dict[str, float]) -> Column:
-    """Probability of good given the votes, with votes independent given the truth."""
+def posterior(prior: float, accuracy: dict[str, tuple[float, float]]) -> Column:
+    """Probability of good given the votes, with votes independent given the truth; `accuracy` has
+    for each rule its accuracy on good and on bad documents on which it votes."""
     odds = F.lit(math.log(prior / (1 - prior)))
-    for name, a in accuracy.items():
-        odds = odds + F.col(name) * F.lit(math.log(a / (1 - a)))
+    for name, (on_good, on_bad) in accuracy.items():
+        odds = odds + (
+            F.when(F.col(name) == 1, math.log(on_good / (1 - on_bad)))
+            .when(F.col(name) == -1, math.log((1 - on_good) / on_bad))
+            .otherwise(0.0)
+        )
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(votes: DataFrame, names: list[str], rounds: int = 20, tolerance: float = 1e-4) -> tuple[float, dict[str, float]]:
-    """(share of good, accuracy of each rule when it votes) by expectation-maximisation.
+#: What the estimate starts from, and how many documents or votes that start counts for.
+START_SHARE, START_GOOD, START_BAD, START_COUNT = 0.8, 0.995, 0.25, 5.0
+#: Each rule looks for one fault of several: it rarely accuses a good document, and passes the
+#: bad ones that have another fault. Votes are then never explained the other way round.
+GOOD_RANGE, BAD_RANGE = (0.995, 0.999), (0.15, 0.35)
+
 
-    Every round is one aggregate over the table of vote patterns that returns one row. Accuracies
-    start at 0.8 and the share at 0.8, which fixes which side is good; they stay within 0.55 to
-    0.99, as a rule is taken to be better than chance, and a smoothing count of 4 votes at the
-    starting value keeps a rule that hardly votes where it began. Without rows: the start values.
+def estimate(
+    votes: DataFrame, names: list[str], rounds: int = 20, tolerance: float = 1e-4
+) -> tuple[float, dict[str, tuple[float, float]]]:
+    """(share of good, accuracies of each rule when it votes) by expectation-maximisation.
+
+    Every round is one aggregate over the table of vote patterns that returns one row. The start
+    says which side is good; it also counts as a few votes, so that a rule that hardly votes stays
+    near it. Accuracies stay within GOOD_RANGE and BAD_RANGE. Without rows: the start.
     """
     patterns = spool(votes.groupBy(*names).agg(F.count("*").alias("n")), "patterns")  # at most 3^rules rows
-    prior, accuracy = 0.8, dict.fromkeys(names, 0.8)
+    prior, accuracy = START_SHARE, dict.fromkeys(names, (START_GOOD, START_BAD))
+
+    def inside(x: float, low: float, high: float) -> float:
+        return min(high, max(low, x))
+
     for _ in range(rounds):
         good = posterior(prior, accuracy)
-        sums = [F.sum(F.col("n")).alias("all"), F.sum(F.col("n") * good).alias("good")]
+        sums = [F.sum("n").alias("all"), F.sum(F.col("n") * good).alias("good")]
         for name in names:
-            right = F.when(F.col(name) == 1, good).when(F.col(name) == -1, 1 - good).otherwise(0.0)
-            sums.append(F.sum(F.col("n") * right).alias(f"right_{name}"))
-            sums.append(F.sum(F.col("n") * F.abs(F.col(name))).alias(f"votes_{name}"))
+            for side, share in (("good", good), ("bad", 1 - good)):
+                right = F.col(name) == (1 if side == "good" else -1)
+                sums.append(F.sum(F.when(right, F.col("n") * share).otherwise(0.0)).alias(f"right_{side}_{name}"))
+                sums.append(F.sum(F.when(F.col(name) != 0, F.col("n") * share).otherwise(0.0)).alias(f"votes_{side}_{name}"))
         row = patterns.agg(*sums).first()
         if not row["all"]:
             break
-        inside = lambda x, a, b: min(b, max(a, x))
-        new_prior = inside((row["good"] + 8) / (row["all"] + 10), 0.05, 0.99)
-        new = {k: inside((row[f"right_{k}"] + 3.2) / (row[f"votes_{k}"] + 4), 0.55, 0.99) for k in names}
-        moved = max(abs(new_prior - prior), *(abs(new[k] - accuracy[k]) for k in names))
+        share = lambda part, whole, start: (part + START_COUNT * start) / (whole + START_COUNT)
+        new_prior = inside(share(row["good"], row["all"], START_SHARE), 0.05, 0.99)
+        new = {
+            k: (
+                inside(share(row[f"right_good_{k}"], row[f"votes_good_{k}"], START_GOOD), *GOOD_RANGE),
+                inside(share(row[f"right_bad_{k}"], row[f"votes_bad_{k}"], START_BAD), *BAD_RANGE),
+            )
+            for k in names
+        }
+        moved = max(abs(new_prior - prior), *(abs(x - y) for k in names for x, y in zip(new[k], accuracy[k], strict=True)))
         prior, accuracy = new_prior, new
         if moved < tolerance:
             break
