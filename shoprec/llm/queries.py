@@ -8,6 +8,23 @@ from pyspark.sql import functions as F
 from shoprec.llm.common import table
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from shoprec.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.warc import archive_pages, histories, read_archives
+
+    files = archive_pages(table(spark, sf_dir, "pages"))
+    return histories(read_archives(files)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoprec.llm.quality_rules import quality_by_votes
 
@@ -24,6 +41,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
 }

@@ -20,11 +20,12 @@ BITS = 16
 PART = 1024
 
 
-def cuts(sizes: DataFrame, shards: int) -> DataFrame:
-    """One row (capacity, last): the smallest capacity with which the items of (atom, bytes), in
-    the order of atom, fill at most `shards` runs, and the last atom of each run but the final one.
+def cuts(sizes: DataFrame, shards: int) -> tuple[int, list[int]]:
+    """(capacity, last): the smallest capacity with which the items of (atom, bytes), in the order
+    of atom, fill at most `shards` runs, and the last atom of each run but the final one.
 
-    An item larger than an even share sets the capacity. Without items: capacity 0, no runs.
+    Two queries of one row each. An item larger than an even share sets the capacity. Without
+    items: capacity 0, no runs.
     """
     whole = sizes.agg(
         F.array_sort(F.collect_list(F.struct("atom", "bytes"))).alias("items"),  # at most 2^BITS items
@@ -59,7 +60,7 @@ def cuts(sizes: DataFrame, shards: int) -> DataFrame:
         ).otherwise(s)
 
     steps = F.sequence(F.lit(1), F.ceil(F.log2(F.col("largest") + 2)).cast("int") + 1)
-    found = whole.withColumn("capacity", F.aggregate(steps, start, halved, lambda s: s["high"]))
+    capacity = whole.select(F.aggregate(steps, start, halved, lambda s: s["high"]).alias("capacity")).first()[0]
     filled = F.aggregate(
         "items",
         F.struct(
@@ -67,7 +68,7 @@ def cuts(sizes: DataFrame, shards: int) -> DataFrame:
             F.array().cast("array<int>").alias("last"),
         ),
         lambda s, x: F.when(
-            s["before"].isNull() | (s["used"] + x["bytes"] <= F.col("capacity")),
+            s["before"].isNull() | (s["used"] + x["bytes"] <= capacity),
             F.struct((s["used"] + x["bytes"]).alias("used"), x["atom"].alias("before"), s["last"].alias("last")),
         ).otherwise(
             F.struct(x["bytes"].alias("used"), x["atom"].alias("before"),
@@ -75,7 +76,7 @@ def cuts(sizes: DataFrame, shards: int) -> DataFrame:
         ),
         lambda s: s["last"],
     )
-    return found.select("capacity", filled.alias("last"))
+    return capacity, whole.select(filled.alias("last")).first()[0]
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
@@ -99,9 +100,11 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     )
     # One row per atom, at most 2^bits.
     atoms = spool(rows.groupBy("atom").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "atoms")
-    placed = atoms.crossJoin(F.broadcast(cuts(atoms, shards))).select(  # one row
+    _, last = cuts(atoms, shards)
+    earlier = [(F.col("atom") > x).cast("int") for x in last]  # one cut less than shards at most
+    placed = atoms.select(
         "atom",
-        F.size(F.filter("last", lambda x: x < F.col("atom"))).alias("shard"),
+        sum(earlier, F.lit(0)).cast("int").alias("shard"),
         F.ceil(F.col("n") / part).cast("long").alias("parts"),
     )
     # A broadcast of at most 2^bits rows of three numbers. Large groups are dealt out by row.
