@@ -1,15 +1,81 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: toxicity, near duplicates, repeated passages, benchmark passages, packing.
+
+Each stage takes the documents that the one before kept and returns the same columns, the last one
+the pieces of packed sequences. Between stages the documents are a Parquet table.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from shoprec.llm.common import spool, table
+from shoprec.llm.decontamination import contamination
+from shoprec.llm.jaccard import jaccard_components
+from shoprec.llm.packing import pack
+from shoprec.llm.suffix_dedup import remove_repeats
+from shoprec.llm.toxicity import learn, without_toxic
+
+#: Words of a shingle and percent of similarity from which documents are near duplicates.
+SHINGLE, SIMILAR = 5, 80
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not reject."""
+    return without_toxic(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones, the one with the smallest id. Documents without
+    words and those with a null id stay; rows that repeat an id and its text are one."""
+    found = jaccard_components(docs, n=SHINGLE, percent=SIMILAR)
+    kept = found.where(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("__kept")).distinct()
+    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
+    same = Window.partitionBy("doc_id", "__text").orderBy(F.lit(0))
+    once = (
+        named.withColumn("__text", F.xxhash64("text")).withColumn("__copy", F.row_number().over(same))
+        .where("__copy = 1").select(*docs.columns)
+    )
+    return once.unionByName(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of strings of 200 bytes that occur elsewhere too."""
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = remove_repeats(docs, length=200, carry=others)
+    made = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast(docs.schema["n_chars"].dataType)}
+    return cut.select(*[(made[c] if c in made else F.col("carried")[c]).alias(c) for c in docs.columns])
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item in a half or more of its words."""
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences of 1024 tokens."""
+    return pack(docs, public_tokenizers.path(TOKENIZER))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard_join", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("benchmark_decontamination", benchmark_passages),
+    ("best_fit_packing", packing),
+]
+#: Tokens, hashes and learned weights are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = spool(docs, name)
     return docs

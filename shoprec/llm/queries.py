@@ -16,6 +16,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.common import crc_mod
+    from shoprec.llm.quality_classifier import score_quality, with_decision
+
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), trains=~held_out)
+    return with_decision(scored, held_out)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoprec.llm.warc import archive_pages, histories, read_archives
 
@@ -34,15 +43,56 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.toxicity import learn, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoprec.llm.sharding import shard_documents
 
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.decontamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.common import crc_mod
+    from shoprec.llm.hmm import language_model_scores
+
+    scored = language_model_scores(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) != 2)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("kept", "carried")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_sharding": op6_sharding,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoprec.llm.common import spool, steps, texts_of
+from shoprec.llm.common import spool, steps
 from shoprec.llm.merging import merge_front_coded
 from shoprec.llm.words import _BASE, _INVERSE, _byte_values, _powers, mix, text_bytes
 
@@ -210,6 +210,7 @@ def repeated_spans(texts: DataFrame, length: int = 200, run: int = RUN, range_si
     """(spans, copies) for texts (doc_id, text, h, n_bytes): the repeated stretches [start, end) of
     each different text (h, n_bytes), and each different text with its number of rows."""
     shape = Shape(length)
+    texts = texts.drop("carried")
     long_enough = texts.where(F.col("n_bytes") >= length)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,16 +442,19 @@ def union_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, h, n_bytes): texts are told apart by hash and length."""
-    return texts_of(docs, id_col, text_col).withColumns(
-        {"h": F.xxhash64("text"), "n_bytes": F.octet_length("text").cast("long")}
-    )
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, text, carried, h, n_bytes): texts are told apart by hash and length."""
+    carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("struct<x: int>")
+    return docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        carried.alias("carried"),
+    ).withColumns({"h": F.xxhash64("text"), "n_bytes": F.octet_length("text").cast("long")})
 
 
 def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
-                   **sizes: int) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row, `kept` in bytes.
+                   carry: list[str] | None = None, **sizes: int) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, carried) for each row. `kept` is what
+    stays without characters that were cut in part, `carried` a struct of the columns in `carry`.
 
     Every byte is removed that lies in a string of `length` bytes that also starts anywhere else,
     in another row or in the same one, overlaps included; no match crosses rows. n_spans counts the
@@ -458,7 +462,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     `length` stay. Rows that repeat a text lose it whole if it is long enough, repeated ids
     included, as each occurs elsewhere. Other columns are not looked at; no row, no result.
     """
-    texts = keyed(docs, id_col, text_col)
+    texts = keyed(docs, id_col, text_col, carry)
     spans, copies = repeated_spans(texts, length, **sizes)
     whole = copies.where((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select(
         "h", "n_bytes", F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")
@@ -486,13 +490,15 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                     edges = [0, *[x for r in runs for x in r], len(text)]
                     kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                     rows.append((doc_id, len(text), len(text) - len(kept), len(runs),
-                                 hashlib.sha256(kept).hexdigest(), kept))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names
-                )
-
-    return texts.join(cuts, ["h", "n_bytes"], "left").select("doc_id", "text", "starts", "ends").mapInArrow(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+                                 hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
+                types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "carried"]
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*cols, step["carried"]], names)
+
+    kind = texts.schema["carried"].dataType.simpleString()
+    return texts.join(cuts, ["h", "n_bytes"], "left").select("doc_id", "text", "starts", "ends", "carried").mapInArrow(
+        cut,
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string, "
+        f"carried {kind}",
     )
