@@ -30,7 +30,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, trains: Co
 
 def fitted(rows: DataFrame, fit: Callable[[pa.Table], bytes]) -> bytes:
     """What `fit` makes of all rows in one task; the caller bounds the rows. Empty without rows."""
-    one = rows.groupBy(F.lit(0)).applyInArrow(
+    one = rows.withColumn("one", F.lit(0)).groupBy("one").applyInArrow(
         lambda table: pa.table({"model": pa.array([fit(table)], pa.binary())}), "model binary"
     )
     found = one.first()
