@@ -128,7 +128,7 @@ rated AS (
 log AS (
   SELECT head || '|' || seen AS value FROM rated WHERE l_returnflag = 'N'
   UNION ALL SELECT 'INFO rating ' || head || '|' || seen || ' ' || chr(9) FROM rated WHERE l_returnflag = 'A'
-  UNION ALL SELECT head FROM rated WHERE l_returnflag = 'R'
+  UNION ALL SELECT head FROM rated WHERE l_returnflag IS NULL OR l_returnflag NOT IN ('N', 'A')
   UNION ALL SELECT text FROM documents
 ),
 messages AS (

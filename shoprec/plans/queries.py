@@ -170,7 +170,7 @@ def rating_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
     ratings = retail.ratings(spark, sf, order=True)
     events = ranking.latest_n(ratings, 1, order=retail.ORDER)
-    return realtime.candidates(events, content_sim(spark, sf), ratings)
+    return realtime.candidates(events, content.TagSimilarities(retail.products(spark, sf)), ratings)
 
 
 def stream_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,8 +181,8 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     ratings = retail.ratings(spark, sf, order=True)
     events = ranking.latest_n(ratings, 1, order=retail.ORDER).drop("seq")
     recent = ranking.latest_n(ratings, realtime.RECENT, order=retail.ORDER)
-    sims = keep(ranking.top_k(content_sim(spark, sf), "productId", "score", "recProductId"))
-    return _as_text(realtime.score_events(events, recent, sims, ratings), "userId")
+    sims = content.TagSimilarities(retail.products(spark, sf))
+    return _as_text(realtime.score_events(events, recent, sims, ratings, hold=keep), "userId")
 
 
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,26 +220,25 @@ def preference_update(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _log(spark: SparkSession, sf: str) -> DataFrame:
-    """A log: each rating as a line, those of flag R cut short, those of flag A padded, and all documents between."""
-    rated = retail.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    """A log: each rating as a line, those of flag A padded, those of flag N as they are, all others
+    cut short, and all documents between."""
     orders = retail.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    sold = rated.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    sold = retail.table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     rows = sold.select(
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("productId"),
         (F.col("l_quantity") % 5 + 1).alias("score"),
-        (F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86400).alias("timestamp"),
+        retail.seconds(F.col("o_orderdate")).alias("timestamp"),
         "l_returnflag",
     )
-    good = text.format_rating(rows.where(F.col("l_returnflag") == "N"))
-    padded = text.format_rating(rows.where(F.col("l_returnflag") == "A")).select(
-        F.concat(F.lit("INFO rating "), F.col("value"), F.lit(" \t")).alias("value")
-    )
-    short = text.format_rating(rows.where(F.col("l_returnflag") == "R")).select(
-        F.regexp_replace("value", r"\|\d+$", "").alias("value")
+    line = text.rating_line()
+    value = (
+        F.when(F.col("l_returnflag") == "N", line)
+        .when(F.col("l_returnflag") == "A", F.concat(F.lit("INFO rating "), line, F.lit(" \t")))
+        .otherwise(F.regexp_replace(line, r"\|-?\d+$", ""))
     )
     noise = retail.table(spark, sf, "documents").select(F.col("text").alias("value"))
-    return good.unionByName(padded).unionByName(short).unionByName(noise)
+    return rows.select(value.alias("value")).unionByName(noise)
 
 
 def parse_rating_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,7 +271,7 @@ def load_ratings(spark: SparkSession, sf: str) -> DataFrame:
     sold = retail.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
-    seconds = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * 86400
+    seconds = retail.seconds(F.col("o_orderdate"))
     at = F.when(F.col("o_orderstatus") == "O", seconds * 1000).otherwise(seconds)
     fields = ("o_custkey", "l_partkey", F.col("l_quantity") % 5 + 1, at)
     line = F.concat_ws(",", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in fields])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns that put the ratings of one user in order, newest first when all descend.
@@ -13,20 +13,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def seconds(at: Column) -> Column:
+    """Epoch seconds of a date or time in UTC, whatever the session time zone shows."""
+    time = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    return F.unix_date(at.cast("date")).cast("bigint") * 86400 + time
+
+
 def ratings(spark: SparkSession, folder: str, order: bool = False) -> DataFrame:
     """One rating per order line: buyer, part, 1 to 5 points, order time in UTC seconds."""
     orders = table(spark, folder, "orders")
     lines = table(spark, folder, "lineitem")
-    at = F.col("o_orderdate")
-    seconds = F.unix_date(at.cast("date")).cast("bigint") * 86400 + (
-        F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-    )
     sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     columns = [
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("productId"),
         (F.col("l_quantity") % 5 + 1).alias("score"),
-        seconds.alias("timestamp"),
+        seconds(F.col("o_orderdate")).alias("timestamp"),
     ]
     if order:
         columns += [F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber")]
