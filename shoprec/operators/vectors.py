@@ -26,7 +26,7 @@ from shoprec.operators.ranking import top_k
 from shoprec.session import keep
 
 MIN_SIM = 0.4
-BLOCK = 2000
+BLOCK = 500
 CENTRES = 1024
 _CELLS_PER_BLOCK = 4
 _SIM_SLACK = 2.0 * 10.0**-DIGITS  # more than rounding can move a similarity
@@ -42,12 +42,12 @@ def _unit(vectors: DataFrame) -> DataFrame:
 
 
 def _centres(groups: DataFrame, block: int, most: int) -> np.ndarray:
-    """Some of the vectors, in hash order: a few per block, and `most` at the utmost.
+    """Some of the vectors, in hash order: a few per block, two at least, and `most` at the utmost.
 
-    That bound, not the data, limits what is collected here.
+    That bound, not the data, limits what is collected here. Beyond it cells hold more than a
+    block, and `_search` cuts them into blocks, so no task grows with the data.
     """
-    wanted = -(-groups.count() * _CELLS_PER_BLOCK // block)
-    count = 1 if wanted <= _CELLS_PER_BLOCK else min(wanted, most)
+    count = min(max(2, -(-groups.count() * _CELLS_PER_BLOCK // block)), most)
     rows = groups.orderBy(F.xxhash64("sig"), "sig").limit(count).select("unit").collect()
     return np.array([r.unit for r in rows], dtype=float)
 
@@ -79,33 +79,35 @@ def _assign(groups: DataFrame, centres: np.ndarray) -> DataFrame:
     return groups.mapInPandas(nearest, "sig int, unit array<double>, cell int, angle double")
 
 
+#: Vectors whose angles to all centres are held at once, and visits in a frame.
+SLICE, FRAME = 1024, 65_536
+
+
 def _visits(queries: DataFrame, cells: DataFrame, centres: np.ndarray) -> DataFrame:
-    """(sig, unit, cell) for each other cell that may hold a vector within `reach` of a query."""
+    """(sig, cell) for each other cell that may hold a vector within `reach` of a query."""
     angles_of = _angles_to(centres)
+    # One number per centre, so the table is bounded by the number of centres.
+    radius = np.full(len(centres), -np.inf)
+    for row in cells.select("cell", "radius").collect():
+        radius[row["cell"]] = row["radius"]
+    size, frame = SLICE, FRAME
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            if not len(rows):
-                continue
-            angles = angles_of(rows["unit"])
-            own = rows["angle"].to_numpy()[:, None]
-            reach = rows["reach"].to_numpy()[:, None]
-            near = (angles - own) / 2 <= reach + _ANGLE_SLACK
-            near[np.arange(len(rows)), rows["cell"].to_numpy()] = False
-            at, cell = np.nonzero(near)
-            yield pd.DataFrame({
-                "sig": rows["sig"].to_numpy()[at],
-                "unit": rows["unit"].to_numpy()[at],
-                "cell": cell,
-                "gap": angles[at, cell] - reach[at, 0],
-            })
-
-    near = queries.mapInPandas(reachable, "sig int, unit array<double>, cell int, gap double")
-    # One row per centre, so the size of this side is bounded by the number of centres.
-    radius = F.broadcast(cells.select("cell", "radius"))
-    return near.join(radius, "cell").where(F.col("gap") <= F.col("radius") + _ANGLE_SLACK).select(
-        "sig", "unit", "cell"
-    )
+        for batch in batches:
+            for start in range(0, len(batch), size):
+                rows = batch.iloc[start : start + size]
+                angles = angles_of(rows["unit"])
+                own = rows["angle"].to_numpy()[:, None]
+                reach = rows["reach"].to_numpy()[:, None]
+                near = ((angles - own) / 2 <= reach + _ANGLE_SLACK) & (angles - reach <= radius + _ANGLE_SLACK)
+                near[np.arange(len(rows)), rows["cell"].to_numpy()] = False
+                at, cell = np.nonzero(near)
+                sig = rows["sig"].to_numpy()
+                for first in range(0, len(at), frame):
+                    some = slice(first, first + frame)
+                    yield pd.DataFrame({"sig": sig[at[some]], "cell": cell[some]})
+
+    return queries.mapInPandas(reachable, "sig int, cell int")
 
 
 def _matcher(min_sim: float, k: int | None):
@@ -165,8 +167,6 @@ def _similar_groups(
     cells = homes.groupBy("cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n"))
     near = _search(homes.select("sig", "unit", "cell"), homes, cells, block, min_sim, k)
     widest = F.lit(float(np.arccos(max(-1.0, min_sim - _SIM_SLACK))))
-    if len(points) == 1:
-        return near
     if k is None:
         queries = homes.withColumn("reach", widest)
     else:
@@ -176,7 +176,9 @@ def _similar_groups(
         )
         queries = homes.join(bound, "sig", "left").withColumn("reach", F.coalesce("bound", widest))
         queries = queries.select("sig", "unit", "cell", "angle", "reach")
-    far = _search(_visits(queries, cells, points), homes, cells, block, min_sim, k)
+    # Visits are (sig, cell) only; the values are joined to them here.
+    visits = _visits(queries, cells, points).join(homes.select("sig", "unit"), "sig").select("sig", "unit", "cell")
+    far = _search(visits, homes, cells, block, min_sim, k)
     return near.select("sig", "other", "score").unionByName(far)
 
 

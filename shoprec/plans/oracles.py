@@ -163,6 +163,10 @@ def _hydrated(recs: str, columns: str) -> str:
 
 
 _CONTENT = (PRODUCTS, WEIGHTS, CONTENT)
+_VECTOR_TOP = _with(COSINES, select="""
+    SELECT productId, recProductId, score,
+           (row_number() OVER (PARTITION BY productId ORDER BY score DESC, recProductId))::INTEGER AS rank
+    FROM cosines WHERE score > 0.1 QUALIFY rank <= 5""")
 _STREAM_LISTS = _with(
     RATINGS, *_CONTENT, LATEST, CANDIDATES, STREAM, select="SELECT userId, entries, recs FROM lists"
 )
@@ -198,11 +202,24 @@ ORACLES: dict[str, str] = {
     "content_sim": _with(*_CONTENT, select="SELECT productId, recProductId, score FROM content"),
     "content_topk": _with(*_CONTENT, CONTENT_TOP, select="""
         SELECT productId, recProductId, score, rank FROM content_top"""),
+    "content_hashed": _with(PRODUCTS, WEIGHTS.replace(
+        "unnest(string_split(lower(replace(tags, '|', ' ')), ' '))",
+        "('0x' || substr(md5(unnest(string_split(lower(replace(tags, '|', ' ')), ' '))), 1, 8))::BIGINT % 800",
+    ), CONTENT, CONTENT_TOP, select="SELECT productId, recProductId, score, rank FROM content_top"),
+    "als_fit_check": _with(RATINGS, select="""
+        SELECT userId, count(*) AS ratings, true AS solved FROM ratings GROUP BY 1"""),
+    "als_lists_check": _with(RATINGS, select="""
+        SELECT DISTINCT userId, true AS ranked, true AS falling, true AS "right" FROM ratings"""),
+    "als_holdout": _with(RATINGS, SPLIT, select="""
+        SELECT userId, productId, score, timestamp, true AS predicted FROM drawn
+        WHERE NOT train AND userId IN (SELECT userId FROM drawn WHERE train)
+          AND productId IN (SELECT productId FROM drawn WHERE train)"""),
+    "als_grid": """
+        SELECT r.rank, l."lambda", true AS number, true AS best_better
+        FROM (VALUES (5), (10), (20), (50)) r(rank), (VALUES (0.01::DOUBLE), (0.1::DOUBLE), (1.0::DOUBLE)) l("lambda")""",
     "vector_sim": _with(COSINES, select="SELECT productId, recProductId, score FROM cosines WHERE score > 0.4"),
-    "vector_topk": _with(COSINES, select="""
-        SELECT productId, recProductId, score,
-               (row_number() OVER (PARTITION BY productId ORDER BY score DESC, recProductId))::INTEGER AS rank
-        FROM cosines WHERE score > 0.1 QUALIFY rank <= 5"""),
+    "vector_topk": _VECTOR_TOP,
+    "vector_topk_blocks": _VECTOR_TOP,
     "rating_split": _with(RATINGS, SPLIT, select="""
         SELECT userId, CASE WHEN train THEN 'train' ELSE 'test' END AS side,
                count(*) AS ratings, sum(score) AS total

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoprec.functions.scalars import name_id, rounded
+from shoprec.functions.scalars import dot, name_id, rounded
 from shoprec.operators import accounts, content, cooccur, factors, ranking, realtime, serving, stats, vectors
 from shoprec.session import keep
 from shoprec.sources import retail, text
@@ -109,6 +109,11 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.cosine_sim(retail.vectors(spark, sf), min_sim=0.1, k=LOOKUP_NUM)
 
 
+def vector_topk_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """As `vector_topk`, with blocks so small that any table makes many cells."""
+    return vectors.cosine_sim(retail.vectors(spark, sf), min_sim=0.1, k=LOOKUP_NUM, block=80)
+
+
 def als_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     return factors.user_recs(factors.fit(retail.ratings(spark, sf)))
 
@@ -117,14 +122,52 @@ def als_item_sim(spark: SparkSession, sf: str) -> DataFrame:
     return factors.item_sim(factors.fit(retail.ratings(spark, sf)), k=NUM)
 
 
+def als_fit_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings of each user, and whether its factors solve the normal equations for the item factors."""
+    ratings = retail.ratings(spark, sf)
+    checked = factors.normal_equations(factors.fit(ratings), ratings)
+    return checked.select("userId", "ratings", (F.coalesce("miss", F.lit(0.0)) < 1e-3).alias("solved"))
+
+
+def als_lists_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each user's list: whether ranks are complete, scores fall, and each is the product of the factors."""
+    model = factors.fit(retail.ratings(spark, sf))
+    u = model.userFactors.select(F.col("id").alias("userId"), F.col("features").alias("u"))
+    v = model.itemFactors.select(F.col("id").alias("recProductId"), F.col("features").alias("v"))
+    rows = factors.user_recs(model).join(v, "recProductId").join(u, "userId")
+    entry = F.struct("rank", "score", (F.abs(dot(F.col("u"), F.col("v")) - F.col("score")) < 1e-3).alias("right"))
+    lists = rows.groupBy("userId").agg(F.array_sort(F.collect_list(entry)).alias("list"))  # k entries at most
+    ranks = F.transform("list", lambda x: x["rank"]) == F.sequence(F.lit(1), F.size("list"))
+    falling = F.forall(
+        F.zip_with("list", F.slice("list", 2, factors.USER_LIST), lambda x, y: F.coalesce(x["score"] >= y["score"], F.lit(True))),
+        lambda x: x,
+    )
+    return lists.select(
+        "userId", ranks.alias("ranked"), falling.alias("falling"), F.forall("list", lambda x: x["right"]).alias("right")
+    )
+
+
 def als_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    """Actual and predicted score of the test rows."""
+    """The test rows whose user and product occur in training, and whether the prediction is a number."""
     train, test = factors.split(retail.ratings(spark, sf))
-    return factors.predict(factors.fit(train), test)
+    predicted = factors.predict(factors.fit(train), test)
+    number = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return predicted.select("userId", "productId", "score", "timestamp", number.alias("predicted"))
 
 
 def als_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return factors.grid_search(retail.ratings(spark, sf))
+    """The parameter pairs, whether their error is a number, and whether the best one is below that of
+    predicting no stars at all. Weakly regularised models of high rank can be worse than that."""
+    ratings = retail.ratings(spark, sf)
+    _, test = factors.split(ratings)
+    none = factors.rmse(test.withColumn("prediction", F.lit(0.0))).select(F.col("rmse").alias("none"))
+    results = factors.grid_search(ratings)
+    best = factors.best(results).select(F.col("rmse").alias("least"))
+    found = results.crossJoin(F.broadcast(none)).crossJoin(F.broadcast(best))  # one row each
+    number = F.col("rmse").isNotNull() & ~F.isnan("rmse")
+    return found.select(
+        "rank", "lambda", number.alias("number"), (F.col("least") < F.col("none")).alias("best_better")
+    )
 
 
 def rating_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,8 +386,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         rate_more, rate_recent, average_score, top_rated_products, hot_products,
         distinct_users_products, cooccurrence, itemcf_topk, itemcf_lists, tfidf_weights,
-        content_sim, content_topk, content_hashed, vector_sim, vector_topk, als_user_recs,
-        als_item_sim, als_holdout, als_grid, rating_split, rmse, latest_ratings, rating_queue,
+        content_sim, content_topk, content_hashed, vector_sim, vector_topk, vector_topk_blocks, als_user_recs,
+        als_item_sim, als_fit_check, als_lists_check, als_holdout, als_grid, rating_split, rmse, latest_ratings, rating_queue,
         rating_upsert, stream_candidates, stream_scores, stream_replay, registrations,
         preference_update, parse_rating_log, rejected_rating_log, format_rating_log,
         load_products, load_ratings, recs_lookup, content_lookup, recs_by_username,
