@@ -29,9 +29,16 @@ def rounded(value: Column) -> Column:
     return F.signum(value) * F.floor(F.abs(value) * _SCALE + 0.5) / _SCALE
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Epoch seconds from a value in seconds or milliseconds."""
-    return F.when(ts > MILLIS_ABOVE, F.floor(ts / 1000)).otherwise(ts).cast("bigint")
+def epoch_seconds(ts: Column, unit: str = "auto") -> Column:
+    """Epoch seconds from a value in seconds or millis; auto tells the unit by the size."""
+    millis = F.floor(ts / 1000)
+    if unit == "seconds":
+        return ts.cast("bigint")
+    if unit == "millis":
+        return millis.cast("bigint")
+    if unit != "auto":
+        raise ValueError(f"unit is 'seconds', 'millis' or 'auto', not {unit!r}")
+    return F.when(ts > MILLIS_ABOVE, millis).otherwise(ts).cast("bigint")
 
 
 def year_month(ts: Column) -> Column:

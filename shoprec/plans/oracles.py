@@ -108,6 +108,21 @@ lists AS (
   LEFT JOIN listed s ON s.userId = u.userId GROUP BY 1
 )"""
 
+
+
+def _batch_lists(newest: int) -> str:
+    """The lists after the batch whose events are the ratings of this place, counted from the newest."""
+    cands = CANDIDATES.replace("e.seq = 1", f"e.seq = {newest}").replace(
+        "FROM ratings r WHERE r.userId", f"FROM latest r WHERE r.seq >= {newest} AND r.userId"
+    )
+    lists = STREAM.replace("r.seq <= 21", f"r.seq BETWEEN {newest} AND {newest + 20}")
+    text = cands.strip() + ", " + lists.strip()
+    for name in ("candidates", "scored", "listed", "lists"):
+        text = text.replace(f"{name} AS (", f"{name}{newest} AS (").replace(f"FROM {name} ", f"FROM {name}{newest} ")
+    return text.replace("FROM candidates)", f"FROM candidates{newest})").replace("FROM scored\n", f"FROM scored{newest}\n").replace(
+        "LEFT JOIN listed s", f"LEFT JOIN listed{newest} s")
+
+
 COSINES = """
 items AS (
   SELECT vec_id::INTEGER AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
@@ -245,6 +260,22 @@ ORACLES: dict[str, str] = {
         SELECT userId, candidate, score, rank FROM candidates"""),
     "stream_scores": _STREAM_LISTS,
     "stream_replay": _STREAM_LISTS,
+    "stream_two_batches": _with(RATINGS, *_CONTENT, LATEST, _batch_lists(2), _batch_lists(1), """
+        final AS (
+          SELECT * FROM lists1 UNION ALL
+          SELECT * FROM lists2 WHERE userId NOT IN (SELECT userId FROM lists1)
+        ),
+        entries AS (
+          SELECT userId, unnest(string_split(recs, ',')) AS entry,
+                 generate_subscripts(string_split(recs, ','), 1)::INTEGER AS rank
+          FROM final WHERE recs <> ''
+        )""", select="""
+        SELECT userId, split_part(entry, ':', 1)::INTEGER AS recProductId, rank,
+               split_part(entry, ':', 2)::BIGINT AS score
+        FROM entries WHERE rank <= 5"""),
+    "user_recs_lookup": _with(RATINGS, select="""
+        SELECT userId, r.rank FROM (SELECT DISTINCT userId FROM ratings),
+               (SELECT unnest(range(1, 6))::INTEGER AS rank) r"""),
     "registrations": """
         WITH names AS (
           SELECT c_name AS username FROM orders JOIN customer ON o_custkey = c_custkey

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shoprec.functions.scalars import dot, name_id, rounded
 from shoprec.operators import accounts, content, cooccur, factors, ranking, realtime, serving, stats, vectors
-from shoprec.session import keep
+from shoprec.session import keep, work_dir
 from shoprec.sources import retail, text
+from shoprec.sources.tables import load_table, save_table
 from shoprec.streaming import replay
 
 NUM = 20
@@ -193,7 +194,8 @@ def latest_ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 def _live(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Per user the newest rating as an event, and all the others as history."""
-    return replay.live_and_history(retail.ratings(spark, sf, order=True))
+    events, history = replay.live_and_history(retail.ratings(spark, sf, order=True))
+    return events.drop("seq"), history
 
 
 def rating_queue(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,7 +231,30 @@ def stream_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
-    return _as_text(replay.run(spark, sf), "userId")
+    state, _ = replay.run(spark, sf)
+    return _as_text(state.recs(spark), "userId")
+
+
+def stream_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """First entries of the lists after two batches, the second replacing lists of the first, looked
+    up by user in the logs."""
+    state, users = replay.run(spark, sf, rounds=2)
+    return _micro(serving.recs_for(users, state.recs(spark, users), "userId", LOOKUP_NUM), "userId")
+
+
+def _micro(recs: DataFrame, key: str) -> DataFrame:
+    score = F.rint(F.col("score") * 1e6).cast("bigint").alias("score")
+    return recs.select(key, "recProductId", "rank", score)
+
+
+def user_recs_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """First ranks in the stored list of the factor model for each user who rated."""
+    ratings = retail.ratings(spark, sf)
+    root = work_dir(spark, "user-recs")
+    lists = ranking.to_nested(factors.user_recs(factors.fit(ratings)), "userId")
+    save_table(lists, root, "user_recs", ["userId"])
+    users = serving.entities(ratings, "userId")
+    return serving.recs_for(users, load_table(spark, root, "user_recs"), "userId", LOOKUP_NUM).select("userId", "rank")
 
 
 def registrations(spark: SparkSession, sf: str) -> DataFrame:
@@ -324,7 +349,9 @@ def load_ratings(spark: SparkSession, sf: str) -> DataFrame:
 def recs_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """First co-rated products of every product, with name and mean score."""
     keys = retail.products(spark, sf).select("productId")
-    found = serving.recs_for(keys, itemcf_topk(spark, sf), "productId", LOOKUP_NUM)
+    root = work_dir(spark, "itemcf-recs")
+    save_table(ranking.to_nested(itemcf_topk(spark, sf), "productId"), root, "itemcf_recs", ["productId"])
+    found = serving.recs_for(keys, load_table(spark, root, "itemcf_recs"), "productId", LOOKUP_NUM)
     return _hydrated(found, spark, sf, "productId", "rank", "score")
 
 
@@ -388,7 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         distinct_users_products, cooccurrence, itemcf_topk, itemcf_lists, tfidf_weights,
         content_sim, content_topk, content_hashed, vector_sim, vector_topk, vector_topk_blocks, als_user_recs,
         als_item_sim, als_fit_check, als_lists_check, als_holdout, als_grid, rating_split, rmse, latest_ratings, rating_queue,
-        rating_upsert, stream_candidates, stream_scores, stream_replay, registrations,
+        rating_upsert, stream_candidates, stream_scores, stream_replay, stream_two_batches, user_recs_lookup, registrations,
         preference_update, parse_rating_log, rejected_rating_log, format_rating_log,
         load_products, load_ratings, recs_lookup, content_lookup, recs_by_username,
         product_search, product_info, user_by_name, score_scale, user_hash,
