@@ -2,7 +2,8 @@
 
 Categories are predicted one after the other. Each is a logistic model over word indicators and the
 probabilities of the categories before it; in training those are out-of-fold predictions, so that a
-later model meets them as unsure as it will later. Words are runs of letters, lower-cased (A-Z).
+later model meets them as unsure as it will later. Words are runs of letters, lower-cased (A-Z);
+indicators are of whole words and of their first bytes, as insults are also inflected and compounded.
 """
 
 from __future__ import annotations
@@ -18,17 +19,24 @@ from pyspark.sql import functions as F
 
 from shoprec.llm.common import steps, texts_of, worker_state
 from shoprec.llm.labelled import fitted, sample
-from shoprec.llm.words import lowered, text_bytes, word_bounds, word_hashes
+from shoprec.llm.words import lowered, mix, text_bytes, word_bounds, word_hashes
 
 #: Labelled documents learned from at most, words with a weight, and words of the lexicon.
-ROWS, VOCABULARY, LEXICON = 16_000, 2_048, 64
+ROWS, VOCABULARY, LEXICON = 16_000, 2_048, 256
+#: First bytes of a word that are indicators too, of longer words. Least documents with an indicator,
+#: and least distance from chance, in standard deviations, for one with a weight.
+HEADS = (5, 6, 7)
+LEAST, DISTANCE = 5, 5.0
+#: Probability from which a document is rejected; above a half, as clean ones must stay.
+THRESHOLD = 0.6
 FOLDS = 3
 #: The chain: a word of the lexicon occurs; two or more do; the label itself.
 CATEGORIES = ("insult", "repeated", "toxic")
 
 
 def letters(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the runs of letters of all texts, and the first of each text."""
+    """One row of hashes for each run of letters of all texts, the word and its heads (0 where it is
+    not longer), and the first of each text."""
     data, offsets = text_bytes(col)
     data = lowered(data)
     other = np.ones(256, bool)
@@ -36,11 +44,23 @@ def letters(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     other[128:] = False
     data = np.where(other[data], np.uint8(32), data)
     starts, ends, first = word_bounds(data, offsets)
-    return word_hashes(data, starts, ends), first
+    forms = np.zeros((len(starts), 1 + len(HEADS)), np.uint64)
+    forms[:, 0] = word_hashes(data, starts, ends)
+    for k, size in enumerate(HEADS, 1):
+        at = np.flatnonzero(ends - starts > size)
+        if len(at):
+            forms[at, k] = mix(word_hashes(data, starts[at], starts[at] + size) + np.uint64(k))
+    return forms, first
 
 
-def logistic(row: np.ndarray, at: np.ndarray, dense: np.ndarray, y: np.ndarray, size: int, ridge: float = 1.0,
-             rounds: int = 120) -> np.ndarray:
+def indicators(forms: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of all forms there are."""
+    ok = forms != 0
+    return np.broadcast_to(row[:, None], forms.shape)[ok], forms[ok]
+
+
+def logistic(row: np.ndarray, at: np.ndarray, dense: np.ndarray, y: np.ndarray, size: int, ridge: float = 0.3,
+             rounds: int = 800) -> np.ndarray:
     """Weights of a logistic model by accelerated gradient descent on diagonally scaled features:
     `size` for the indicators (row, at), then those of the dense columns, then the constant."""
     n, k = len(y), dense.shape[1]
@@ -73,9 +93,9 @@ def mined(row: np.ndarray, word: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     bad = np.bincount(at, y[row], minlength=len(names))
     share = min(max(y.mean(), 1e-6), 1 - 1e-6)
     z = (bad - share * df) / np.sqrt(share * (1 - share) * df)
-    enough = df >= 3
+    enough = (df >= LEAST) & (np.abs(z) >= DISTANCE)
     vocabulary = names[enough][np.argsort(-np.abs(z[enough]), kind="stable")[:VOCABULARY]]
-    sure = (df >= 5) & (bad >= 0.8 * df) & (z > 5)
+    sure = enough & (bad >= 0.8 * df) & (z > 0)
     lexicon = names[sure][np.argsort(-z[sure], kind="stable")[:LEXICON]]
     return np.sort(vocabulary), np.sort(lexicon)
 
@@ -114,18 +134,20 @@ def fit(table: pa.Table) -> bytes:
     rows, words_, labels, base = [], [], [], 0
     for batch in table.select(["text", "label"]).to_batches():
         for step in steps(batch):
-            hashes, first = letters(step["text"])
+            forms, first = letters(step["text"])
             rows.append(np.repeat(np.arange(step.num_rows), np.diff(first)) + base)
-            words_.append(hashes)
+            words_.append(forms)
             labels.append(step["label"].to_numpy(zero_copy_only=False).astype(float))
             base += step.num_rows
-    row, word, y = np.concatenate(rows), np.concatenate(words_), np.concatenate(labels)
+    word_row, forms, y = np.concatenate(rows), np.concatenate(words_), np.concatenate(labels)
+    row, word = indicators(forms, word_row)
     order = np.lexsort((word, row))
     row, word = row[order], word[order]
     different = np.concatenate(([True], (word[1:] != word[:-1]) | (row[1:] != row[:-1]))) if len(row) else np.empty(0, bool)
     once_row, once = row[different], word[different]
     vocabulary, lexicon = mined(once_row, once, y)
-    hits = np.bincount(row[found_in(lexicon, word)[1]], minlength=len(y))
+    marked = found_in(lexicon, forms.ravel())[1].reshape(forms.shape).any(axis=1)
+    hits = np.bincount(word_row[marked], minlength=len(y))
     targets = np.column_stack([hits >= 1, hits >= 2, y == 1])
     at, ok = found_in(vocabulary, once)
     models = chain(once_row[ok], at[ok], targets, len(vocabulary))
@@ -140,9 +162,10 @@ def probabilities(col: pa.Array, kept) -> np.ndarray:
     p = np.zeros((n, len(CATEGORIES)))
     if kept is None:
         return p
-    hashes, first = letters(col)
-    at, ok = found_in(kept["vocabulary"], hashes)
-    row = np.repeat(np.arange(n), np.diff(first))[ok]
+    forms, first = letters(col)
+    row, word = indicators(forms, np.repeat(np.arange(n), np.diff(first)))
+    at, ok = found_in(kept["vocabulary"], word)
+    row = row[ok]
     size = max(len(kept["vocabulary"]), 1)
     once = np.unique(row * size + at[ok])
     row, at = once // size, once % size
@@ -157,7 +180,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     return fitted(sample(docs, labels, label, rows, trains, id_col, text_col), fit)
 
 
-def score_toxicity(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col: str = "doc_id",
+def score_toxicity(docs: DataFrame, model: bytes, threshold: float = THRESHOLD, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """(doc_id, p_insult, p_repeated, p_toxic, toxic) for each row of `docs`, over the whole text.
 
@@ -181,7 +204,7 @@ def score_toxicity(docs: DataFrame, model: bytes, threshold: float = 0.5, id_col
     return texts_of(docs, id_col, text_col).mapInArrow(score, f"doc_id long, {columns}, toxic int")
 
 
-def without_toxic(docs: DataFrame, model: bytes, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+def without_toxic(docs: DataFrame, model: bytes, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The rows of `docs` that are not toxic, with all their columns; no row is moved."""
 
     @F.pandas_udf("boolean")
