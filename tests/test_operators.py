@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 import random
@@ -204,13 +205,26 @@ def test_content_equals_pairwise_cosine(spark, monkeypatch, k):
 def test_hashed_content_equals_pairwise_cosine_over_buckets(spark):
     tags = skewed_tags(2, 40)
     words = sorted({w for t in tags for w in t.split("|")})
-    hashed = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.pmod(F.hash("w"), F.lit(7)).alias("b"))
-    buckets = {r["w"]: r["b"] for r in hashed.collect()}
+    buckets = {w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 7 for w in words}
     got = content.content_sim(make_products(spark, tags), k=4, mode="hashed", buckets=7)
     expected = brute_lists(tag_sims(tags, buckets.__getitem__), range(40), 4, 0.4)
     assert rows(got, "productId", "rank", "recProductId", "score") == expected
 
 
+def test_similarities_of_some_products_and_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pairs.pairs_within, "__defaults__", ((), None, None, 4))
+    tags = skewed_tags(4, 60)
+    products = make_products(spark, tags)
+    every = rows(content.content_sim(products), "productId", "recProductId", "score")
+    some = content.TagSimilarities(products)
+    asked = products.where("productId % 7 = 1").select("productId")
+    found = rows(some.of(asked), "productId", "recProductId", "score")
+    assert found == [r for r in every if r[0] % 7 == 1]
+    wanted = spark.range(60).selectExpr("cast(id AS int) AS productId").crossJoin(
+        spark.range(0, 60, 3).selectExpr("cast(id AS int) AS recProductId"))
+    assert rows(some.between(wanted), "productId", "recProductId", "score") == [r for r in every if r[1] % 3 == 0]
+
+
 def test_products_whose_words_are_in_all_have_no_similarity(spark):
     assert content.content_sim(make_products(spark, ["same"] * 5)).count() == 0
 
@@ -236,6 +250,15 @@ def test_vector_similarity_equals_all_pairs(spark, k, block):
     assert [x[3] for x in got] == pytest.approx([x[3] for x in expected], abs=2e-6)
 
 
+def test_vector_frames_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SLICE", 7)
+    monkeypatch.setattr(vectors, "FRAME", 5)
+    data = np.random.default_rng(6).normal(size=(90, 3))
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    got = rows(vectors.cosine_sim(make_vectors(spark, data), k=4, block=10), "productId", "rank", "recProductId", "score")
+    assert [x[:3] for x in got] == [x[:3] for x in brute_lists(unit @ unit.T, range(90), 4, 0.4)]
+
+
 def test_zero_vectors_only(spark):
     assert vectors.cosine_sim(make_vectors(spark, np.zeros((3, 2)))).count() == 0
 
@@ -261,6 +284,14 @@ def test_model_is_repeatable_and_finds_the_groups(taste):
     assert sim.where("productId % 2 <> recProductId % 2").count() == 0
 
 
+def test_fitted_users_solve_the_normal_equations(taste):
+    model = factors.fit(taste)
+    fitted = factors.normal_equations(model, taste)
+    assert fitted.count() == 40 and fitted.where("miss > 0.001").count() == 0
+    other = factors.normal_equations(model, taste.withColumn("score", 6 - F.col("score")))
+    assert other.where("miss < 0.1").count() == 0
+
+
 def test_split_is_a_partition_and_depends_on_the_seed(taste):
     train, test = factors.split(taste)
     assert train.count() + test.count() == taste.count()
