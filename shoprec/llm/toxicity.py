@@ -22,7 +22,7 @@ from shoprec.llm.labelled import fitted, sample
 from shoprec.llm.words import lowered, mix, text_bytes, word_bounds, word_hashes
 
 #: Labelled documents learned from at most, words with a weight, and words of the lexicon.
-ROWS, VOCABULARY, LEXICON = 16_000, 2_048, 256
+ROWS, VOCABULARY, LEXICON = 6_000, 2_048, 256
 #: First bytes of a word that are indicators too, of longer words. Least documents with an indicator,
 #: and least distance from chance, in standard deviations, for one with a weight.
 HEADS = (5, 6, 7)
@@ -131,23 +131,28 @@ def chain(row: np.ndarray, at: np.ndarray, targets: np.ndarray, size: int) -> li
 
 def fit(table: pa.Table) -> bytes:
     """Vocabulary and weights from (text, label)."""
-    rows, words_, labels, base = [], [], [], 0
-    for batch in table.select(["text", "label"]).to_batches():
-        for step in steps(batch):
-            forms, first = letters(step["text"])
-            rows.append(np.repeat(np.arange(step.num_rows), np.diff(first)) + base)
-            words_.append(forms)
-            labels.append(step["label"].to_numpy(zero_copy_only=False).astype(float))
-            base += step.num_rows
-    word_row, forms, y = np.concatenate(rows), np.concatenate(words_), np.concatenate(labels)
-    row, word = indicators(forms, word_row)
-    order = np.lexsort((word, row))
-    row, word = row[order], word[order]
-    different = np.concatenate(([True], (word[1:] != word[:-1]) | (row[1:] != row[:-1]))) if len(row) else np.empty(0, bool)
-    once_row, once = row[different], word[different]
+    batches = table.select(["text", "label"]).to_batches()
+    rows, words_, labels, base = [], [], [np.empty(0)], 0
+    for step in (x for batch in batches for x in steps(batch)):
+        forms, first = letters(step["text"])
+        row, word = indicators(forms, np.repeat(np.arange(step.num_rows), np.diff(first)))
+        order = np.lexsort((word, row))
+        row, word = row[order], word[order]
+        different = np.ones(len(row), bool)
+        different[1:] = (word[1:] != word[:-1]) | (row[1:] != row[:-1])
+        rows.append((row[different] + base).astype(np.int32))
+        words_.append(word[different])
+        labels.append(step["label"].to_numpy(zero_copy_only=False).astype(float))
+        base += step.num_rows
+    once_row, once, y = np.concatenate(rows), np.concatenate(words_), np.concatenate(labels)
     vocabulary, lexicon = mined(once_row, once, y)
-    marked = found_in(lexicon, forms.ravel())[1].reshape(forms.shape).any(axis=1)
-    hits = np.bincount(word_row[marked], minlength=len(y))
+    hits, base = np.zeros(len(y), np.int64), 0
+    for step in (x for batch in batches for x in steps(batch)):  # again, rather than holding all words
+        forms, first = letters(step["text"])
+        marked = found_in(lexicon, forms.ravel())[1].reshape(forms.shape).any(axis=1)
+        own = np.repeat(np.arange(step.num_rows), np.diff(first))[marked]
+        hits[base : base + step.num_rows] = np.bincount(own, minlength=step.num_rows)
+        base += step.num_rows
     targets = np.column_stack([hits >= 1, hits >= 2, y == 1])
     at, ok = found_in(vocabulary, once)
     models = chain(once_row[ok], at[ok], targets, len(vocabulary))
