@@ -12,6 +12,7 @@ between components is lost.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,11 @@ from shoprec.llm.components import components
 from shoprec.llm.words import mix, shingles, words
 
 #: Cells of the table of token counts, which is the same size for any corpus.
-CELLS = 1 << 18
+CELLS = 1 << 23
 #: Sets in one group of the matrix.
 GROUP = 64
+#: Tokens in a range of the hash, about, and in the blocks that a task sends at once.
+BUCKET, FLUSH = 200_000, 2_000_000
 
 
 def need(n: Column, percent: int) -> Column:
@@ -47,36 +50,36 @@ def token_counts(texts: DataFrame, n: int, cells: int = CELLS) -> np.ndarray:
     slices = 64
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
+        total = np.zeros(cells, np.int32)
         for batch in batches:
             for step in steps(batch):
-                hashes, first = words(step["text"])
-                for s in shingles(hashes, first, n):
-                    total += np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) if len(s) > cells else 0
-                    if len(s) <= cells:
-                        np.add.at(total, (s & np.uint64(cells - 1)).astype(np.int64), 1)
+                for s in shingles(*words(step["text"]), n):
+                    np.add.at(total, (s & np.uint64(cells - 1)).astype(np.int64), np.int32(1))
         parts = total.reshape(slices, -1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(slices), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+            [pa.array(range(slices), pa.int32()), pa.array([zlib.compress(p.tobytes(), 1) for p in parts], pa.binary())],
             ["slice", "counts"],
         )
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table["counts"].to_pylist())
-        return pa.table({"slice": table["slice"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    def sum_up(table: pa.Table) -> pa.Table:
+        total = np.zeros(cells // slices, np.int64)
+        for x in table["counts"].to_pylist():
+            total += np.frombuffer(zlib.decompress(x), np.int32)
+        return pa.table({"slice": table["slice"][:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     summed = texts.select("text").mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInArrow(
-        add, "slice int, counts binary"
+        sum_up, "slice int, counts binary"
     )
     out = np.zeros((slices, cells // slices), np.int64)
-    for row in summed.collect():  # `slices` rows of fixed size
-        out[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    for row in summed.collect():  # `slices` rows of bounded size
+        out[row["slice"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
     return out.ravel()
 
 
-def levels(counts: np.ndarray, documents: int) -> np.ndarray:
+def levels(counts: np.ndarray) -> np.ndarray:
     """Order class of each cell: 0, or more the more its count exceeds what is usual."""
-    usual = max(64.0, 4 * counts.mean(), documents / 1000)
+    mean = counts.mean()
+    usual = max(16.0, mean + 4 * np.sqrt(mean))
     return np.where(counts > usual, 1 + np.log2(np.maximum(counts, 1) / usual) * 4, 0).astype(np.uint8)
 
 
@@ -120,21 +123,20 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     Other columns are not looked at. Without rows the result is empty.
     """
     texts = texts_of(docs, id_col, text_col)
-    nodes, places = _nodes(texts, n, percent)
-    # Tokens of at least two different sets, with the set that leads them.
-    shared = spool(
-        places.groupBy("token").agg(F.min(F.struct("s", "n")).alias("lead"), F.max("s").alias("last"))
-        .where(F.col("lead.s") != F.col("last"))
-        .select("token", F.col("lead.s").alias("lead"), F.col("lead.n").alias("lead_n")),
-        "shared",
-    )
-    live = spool(places.join(shared, "token").distinct(), "live")
+    nodes, live = _nodes(texts, n, percent)
     least = nodes.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("rep"))
     held = _held(texts, live.select("s").distinct().join(least, "s"), n)
 
-    # First round: each set and the leader it shares most tokens with.
+    # First round: each set and the leader it shares most tokens with. A token is led by the set whose
+    # tokens are the most common: an original rather than one of its changed copies.
+    weight = live.groupBy("s").agg(F.sum("df").alias("weight"))
+    leads = (
+        live.select("token", "s", "n").join(spool(weight, "weight"), "s").groupBy("token")
+        .agg(F.max(F.struct("weight", "s", "n")).alias("lead"))
+        .select("token", F.col("lead.s").alias("lead"), F.col("lead.n").alias("lead_n"))
+    )
     led = (
-        live.where((F.col("s") != F.col("lead")) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")))
+        live.select("token", "s", "n").join(spool(leads, "leads"), "token").where((F.col("s") != F.col("lead")) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")))
         .groupBy("s", "lead").agg(F.count("*").alias("c"))
         .groupBy("s").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
     )
@@ -157,13 +159,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     suffix = lambda x: need(F.col(x), percent) - 1  # noqa: E731  tokens behind the first ones
     bounds = members.groupBy("g", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     matrix = spool(
-        open_tokens.join(members.select("s", "chunk"), "s").select("token", "g", "chunk").distinct(), "matrix"
+        open_tokens.join(members.select("s", "chunk"), "s").select("token", "g", "chunk").distinct()
+        .join(bounds, ["g", "chunk"]), "matrix"
     )
     overlap = (
-        open_tokens.select("token", "s", "n", F.col("g").alias("own")).join(matrix, "token").where("own > g")
-        .groupBy("s", "n", "g", "chunk").agg(F.count("*").alias("c"))
-        .join(bounds, ["g", "chunk"])
+        open_tokens.select("token", "s", "n", F.col("g").alias("own")).join(matrix, "token")
+        .where("own > g")
         .where((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
+        .groupBy("s", "n", "g", "chunk", "low", "high").agg(F.count("*").alias("c"))
         .where(
             (F.col("c") + F.greatest(suffix("n"), suffix("high"))) * (100 + percent)
             >= percent * (F.col("n") + F.col("low"))
@@ -191,39 +194,121 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
 
 
 def _nodes(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, s, n) for each row, and (token, s, n) for the first tokens of each set."""
+    """(doc_id, s, n) for each row, and (token, s, n, df) for the first tokens of each set that
+    another set has among its first ones too; `df` is the number of such sets.
+
+    Tokens of usual frequency are sent in packed blocks, by ranges of the hash; the sets that share
+    one of them are few. Those of very frequent ones are plain rows that Spark can split.
+    """
     counts = token_counts(texts, n)
-    order = levels(counts, texts.count())
+    order = levels(counts)
     mask = np.uint64(len(order) - 1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def lists(parts: list[np.ndarray]) -> pa.Array:
+            ends = np.array([0, *[len(x) for x in parts]]).cumsum()
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
+
         for batch in batches:
             for step in steps(batch):
-                rows = []
+                names, sizes, usual, often = [], [], [], []
                 for s in shingles(*words(step["text"]), n):
                     m = len(s)
-                    if not m:
-                        rows.append((0, 0, np.empty(0, np.int64)))
-                        continue
-                    first = m - -(-percent * m // 100) + 1
                     level = order[(s & mask).astype(np.int64)]
-                    if level.any():
-                        head = s[np.lexsort((s, level))[:first]]
-                    else:
-                        head = s[:first]
-                    rows.append((set_name(s), m, head.view(np.int64)))
-                lengths = np.array([0, *[len(r[2]) for r in rows]]).cumsum()
-                flat = np.concatenate([r[2] for r in rows])
+                    first = m - -(-percent * m // 100) + 1 if m else 0
+                    at = np.lexsort((s, level))[:first] if level.any() else slice(0, first)
+                    head, hot = s[at], level[at] > 0
+                    names.append(set_name(s))
+                    sizes.append(m)
+                    usual.append(head[~hot])
+                    often.append(head[hot])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        step["doc_id"], pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat)),
-                    ],
-                    ["doc_id", "s", "n", "tokens"],
+                    [step["doc_id"], pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists(usual), lists(often)],
+                    ["doc_id", "s", "n", "tokens", "often"],
                 )
 
-    sets = spool(texts.mapInArrow(scan, "doc_id long, s long, n long, tokens array<long>"), "sets")
-    return sets.select("doc_id", "s", "n"), sets.select(F.explode("tokens").alias("token"), "s", "n")
+    sets = spool(
+        texts.mapInArrow(scan, "doc_id long, s long, n long, tokens array<long>, often array<long>"), "sets"
+    )
+    total = sets.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET))
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            token, s, m = (np.concatenate([h[i] for h in held]) for i in range(3))
+            held.clear()
+            by = np.argsort(token)
+            token, s, m = token[by], s[by], m[by]
+            part = (token // np.uint64(-(-(1 << 64) // buckets))).astype(np.int64) if buckets > 1 else np.zeros(len(token), np.int64)
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(token)]
+            rows = []
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a < b:
+                    names, place, at = np.unique(s[a:b], return_index=True, return_inverse=True)
+                    rows.append((int(part[a]), _packed(token[a:b]), at.astype("<u4").tobytes(), names.tobytes(),
+                                 m[a:b][place].astype("<i8").tobytes()))
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(cols)],
+                ["bucket", "tokens", "at", "names", "sizes"],
+            )
+
+        waiting = 0
+        for batch in batches:
+            lists = batch["tokens"]
+            k = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            own = np.repeat(np.arange(batch.num_rows), k)
+            held.append((
+                lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64),
+                batch["s"].to_numpy(zero_copy_only=False)[own], batch["n"].to_numpy(zero_copy_only=False)[own],
+            ))
+            waiting += len(own)
+            if waiting > FLUSH:
+                yield flush()
+                waiting = 0
+        if held:
+            yield flush()
+
+    def meet(table: pa.Table) -> pa.Table:
+        parts = []
+        for row in table.to_pylist():
+            at = np.frombuffer(row["at"], "<u4")
+            parts.append((_unpacked(row["tokens"]), np.frombuffer(row["names"], np.int64)[at],
+                          np.frombuffer(row["sizes"], "<i8")[at]))
+        token, s, m = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        by = np.lexsort((s, token))
+        token, s, m = token[by], s[by], m[by]
+        new = np.concatenate(([True], (token[1:] != token[:-1]) | (s[1:] != s[:-1])))  # a set counts once
+        token, s, m = token[new], s[new], m[new]
+        first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(token))))
+        df = np.bincount(group)[group]
+        keep = df > 1
+        return pa.table({"token": token[keep].view(np.int64), "s": s[keep], "n": m[keep], "df": df[keep]})
+
+    kind = "token long, s long, n long, df long"
+    blocks = sets.select("s", "n", "tokens").mapInArrow(
+        block, "bucket int, tokens binary, at binary, names binary, sizes binary"
+    )
+    usual = blocks.groupBy("bucket").applyInArrow(meet, kind)
+    rows = sets.select(F.explode("often").alias("token"), "s", "n").distinct()
+    rows = spool(rows, "often")
+    common = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    often = rows.join(spool(common, "common"), "token").select("token", "s", "n", "df")
+    return sets.select("doc_id", "s", "n"), spool(usual.unionByName(often), "live")
+
+
+def _packed(tokens: np.ndarray) -> bytes:
+    """Sorted tokens as differences, in planes of their bytes, compressed."""
+    steps_ = np.diff(tokens, prepend=np.uint64(0))
+    return zlib.compress(steps_.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def _held(texts: DataFrame, reps: DataFrame, n: int) -> DataFrame:
