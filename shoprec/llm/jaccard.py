@@ -30,6 +30,8 @@ CELLS = 1 << 23
 GROUP = 64
 #: Tokens in a range of the hash, about, and in the blocks that a task sends at once.
 BUCKET, FLUSH = 200_000, 2_000_000
+#: Sets that a group meets in one task, about.
+ASKING = 500
 
 
 def need(n: Column, percent: int) -> Column:
@@ -112,6 +114,56 @@ def verified(pairs: DataFrame, held: DataFrame, n: int, percent: int) -> DataFra
     return spool(both.mapInArrow(check, "a long, b long"), "links")
 
 
+def _within(opened: DataFrame, members: DataFrame, held: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) of sets with the members of the groups opened for them, of other components.
+
+    A group of at most GROUP members meets at most about ASKING sets in a task; more sets are dealt
+    to several copies of the group. The union of the group's tokens bounds each overlap first.
+    """
+    keys = ["g", "chunk", "part"]
+    parts = spool(
+        opened.groupBy("g", "chunk").agg(F.ceil(F.count("*") / ASKING).cast("long").alias("parts")), "parts"
+    )
+    asking = opened.join(parts, ["g", "chunk"]).select(
+        "g", "chunk", F.pmod(F.xxhash64("s"), "parts").alias("part"), "s", "own"
+    ).join(held, "s")
+    asked = members.join(parts, ["g", "chunk"]).select(
+        "g", "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "s", "own"
+    ).join(held, "s")
+
+    # Fresh names: both sides come from the same tables.
+    asking, asked = (df.select(*[F.col(c).alias(c) for c in (*keys, "s", "own", "text")]) for df in (asking, asked))
+
+    def check(queries: pa.Table, group: pa.Table) -> pa.Table:
+        def sets(table: pa.Table) -> list[tuple[int, int, np.ndarray]]:
+            out = []
+            for batch in table.to_batches():
+                for step in steps(batch):
+                    out += zip(step["s"].to_pylist(), step["own"].to_pylist(), shingles(*words(step["text"]), n), strict=True)
+            return out
+
+        links: list[tuple[int, int]] = []
+        home = sets(group)
+        if home:
+            union = np.unique(np.concatenate([x for _, _, x in home]))
+            for s, own, x in sets(queries):
+                at = np.searchsorted(union, x)
+                at[at == len(union)] = 0
+                if 100 * int((union[at] == x).sum()) < percent * len(x):
+                    continue
+                for t, other, y in home:
+                    if other == own or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+                        continue
+                    same = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * same >= percent * (len(x) + len(y) - same):
+                        links.append((s, t))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return spool(
+        asking.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(check, "a long, b long"), "far"
+    )
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of `docs`.
@@ -140,45 +192,54 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
         .groupBy("s", "lead").agg(F.count("*").alias("c"))
         .groupBy("s").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
     )
+    led = spool(led, "led")
     near = verified(led.select(F.col("s").alias("a"), F.col("lead").alias("b")), held, n, percent)
     group_of = spool(components(near), "groups")
 
-    # Second round: sets against groups of other components.
-    placed = (
-        live.join(group_of.withColumnRenamed("node", "s"), "s", "left")
-        .select("token", "s", "n", F.coalesce("component", "s").alias("g"))
+    # Second round: sets against groups that hold another component. A group is the sets with one
+    # leader, linked or not, cut into chunks.
+    placed = spool(
+        live.select("token", "s", "n").join(group_of.withColumnRenamed("node", "s"), "s", "left")
+        .select("token", "s", "n", F.coalesce("component", "s").alias("own")),
+        "placed",
     )
-    placed = spool(placed, "placed")
-    mixed = placed.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y")).where("x <> y").select("token")
+    mixed = placed.groupBy("token").agg(F.min("own").alias("x"), F.max("own").alias("y")).where("x <> y").select("token")
     open_tokens = spool(placed.join(spool(mixed, "mixed"), "token"), "open")
-    members = open_tokens.select("s", "n", "g").distinct()
+    members = open_tokens.select("s", "n", "own").distinct().join(led, "s", "left").select(
+        "s", "n", "own", F.coalesce("lead", "s").alias("g")
+    )
     sizes = members.groupBy("g").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("chunks"))
     members = spool(
-        members.join(sizes, "g").select("s", "n", "g", F.pmod(F.xxhash64("s"), "chunks").alias("chunk")), "members"
+        members.join(sizes, "g").select("s", "n", "own", "g", F.pmod(F.xxhash64("s"), "chunks").alias("chunk")), "members"
     )
-    suffix = lambda x: need(F.col(x), percent) - 1  # noqa: E731  tokens behind the first ones
-    bounds = members.groupBy("g", "chunk").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    bounds = members.groupBy("g", "chunk").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("own").alias("x"), F.max("own").alias("y"),
+        F.count("*").alias("m"),
+    )
+    where_ = members.select("s", F.col("g").alias("my_g"), F.col("chunk").alias("my_chunk"))
+    asking = open_tokens.join(where_, "s")
     matrix = spool(
-        open_tokens.join(members.select("s", "chunk"), "s").select("token", "g", "chunk").distinct()
-        .join(bounds, ["g", "chunk"]), "matrix"
+        asking.select("token", F.col("my_g").alias("g"), F.col("my_chunk").alias("chunk")).distinct()
+        .join(bounds, ["g", "chunk"]),
+        "matrix",
     )
-    overlap = (
-        open_tokens.select("token", "s", "n", F.col("g").alias("own")).join(matrix, "token")
-        .where("own > g")
+    suffix = lambda x: need(F.col(x), percent) - 1  # noqa: E731  tokens behind the first ones
+    later = (F.col("my_g") > F.col("g")) | ((F.col("my_g") == F.col("g")) & (F.col("my_chunk") >= F.col("chunk")))
+    opened = (
+        asking.join(matrix, "token")
+        .where(later & ~((F.col("x") == F.col("y")) & (F.col("x") == F.col("own"))))
         .where((100 * F.col("high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("low")))
-        .groupBy("s", "n", "g", "chunk", "low", "high").agg(F.count("*").alias("c"))
+        .groupBy("s", "n", "own", "g", "chunk", "low", "high", "m").agg(F.count("*").alias("c"))
         .where(
             (F.col("c") + F.greatest(suffix("n"), suffix("high"))) * (100 + percent)
             >= percent * (F.col("n") + F.col("low"))
         )
+        .select("s", "own", "g", "chunk", "m")
     )
-    pairs = (
-        overlap.select(F.col("s").alias("a"), F.col("n").alias("n_a"), "g", "chunk")
-        .join(members.select(F.col("s").alias("b"), F.col("n").alias("n_b"), "g", "chunk"), ["g", "chunk"])
-        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .select("a", "b")
-    )
-    far = verified(pairs, held, n, percent)
+    opened = spool(opened, "opened")
+    single = members.select(F.col("s").alias("b"), "g", "chunk")
+    alone = opened.where("m = 1").join(single, ["g", "chunk"]).select(F.col("s").alias("a"), "b")
+    far = verified(alone, held, n, percent).unionByName(_within(opened.where("m > 1"), members, held, n, percent))
     whole = spool(components(near.unionByName(far)), "components")
 
     least = spool(least, "least")
