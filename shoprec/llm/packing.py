@@ -48,7 +48,10 @@ def best_fit(counts: dict[int, int], capacity: Capacity) -> list[tuple[int, list
     """Bins as (number of bins, lengths in them) for counts of pieces by length, longest first.
 
     Each piece goes to the bin with the best score among those with room in all three capacities,
-    or opens one. Equal scores: the bin with fewer tokens left, then the older one.
+    or opens one. Equal scores: the bin with fewer tokens left, then the older one. Pieces of one
+    length are placed in one step as they would be one by one: a bin that took one scores better
+    than before by "norm" and worse by "dot", so it takes all that fit, or one until its equals have
+    one too; a bin opened because no other had room takes all that fit.
     """
     limits = (capacity.tokens, capacity.documents, capacity.attention)
     shares = [w / m for w, m in zip(capacity.weights, limits, strict=True)]
@@ -60,21 +63,25 @@ def best_fit(counts: dict[int, int], capacity: Capacity) -> list[tuple[int, list
             return -sum(s * s * left * n for s, left, n in zip(shares, entry, need, strict=False))
         return sum((s * (left - n)) ** 2 for s, left, n in zip(shares, entry, need, strict=False))
 
+    def most(entry: list, need: tuple[int, int, int]) -> int:
+        return min(left // n for left, n in zip(entry, need, strict=False))
+
     for length in sorted((x for x in counts if counts[x] > 0), reverse=True):
         need, todo = (length, 1, length * length), counts[length]
         while todo:
             fits = [b for b in bins if b[0] >= length and b[1] >= 1 and b[2] >= need[2]]
             if fits:
-                best = min(fits, key=lambda b: (score(b, need), b[0]))
-                taken = min(todo, best[3])
-                best[3] -= taken
-                if not best[3]:
-                    bins = [b for b in bins if b is not best]
-                old = best
+                old = min(fits, key=lambda b: (score(b, need), b[0]))
+                each = 1 if capacity.score == "dot" else most(old, need)
             else:
-                old, taken = [*limits, 0, []], todo
-            new = [old[0] - length, old[1] - 1, old[2] - need[2], taken, [*old[4], length]]
-            todo -= taken
+                old, each = [*limits, todo, []], most(limits, need)
+            each = min(each, todo)
+            taken = min(todo // each, old[3])  # bins; the last pieces of the length are another step
+            old[3] -= taken
+            if fits and not old[3]:
+                bins = [b for b in bins if b is not old]
+            new = [*(left - each * n for left, n in zip(old, need, strict=False)), taken, [*old[4], *[length] * each]]
+            todo -= each * taken
             if new[0] and new[1] and new[2]:
                 bins.append(new)
             else:

@@ -50,6 +50,44 @@ def test_bins_keep_every_capacity(score):
         Capacity(64, 5, 10)
 
 
+def single_pieces(counts, capacity):
+    """Contents of the bins when each piece is placed for itself."""
+    limits = (capacity.tokens, capacity.documents, capacity.attention)
+    shares = [w / m for w, m in zip(capacity.weights, limits, strict=True)]
+    bins = []
+    for length in sorted((x for x, n in counts.items() for _ in range(n)), reverse=True):
+        need = (length, 1, length * length)
+
+        def score(left, need=need):
+            if capacity.score == "dot":
+                return -sum(s * s * a * n for s, a, n in zip(shares, left, need, strict=True))
+            return sum((s * (a - n)) ** 2 for s, a, n in zip(shares, left, need, strict=True))
+
+        fits = [b for b in bins if all(a >= n for a, n in zip(b[0], need, strict=True))]
+        at = min(fits, key=lambda b: (score(b[0]), b[0][0]), default=None)
+        if at is None:
+            bins.append(at := [limits, []])
+        at[0] = tuple(a - n for a, n in zip(at[0], need, strict=True))
+        at[1].append(length)
+    return [lengths for _, lengths in bins]
+
+
+@pytest.mark.parametrize("score", ["norm", "dot"])
+@pytest.mark.parametrize("documents", [1024, 6])
+def test_equal_pieces_are_placed_as_one_by_one(score, documents):
+    capacity = Capacity(documents=documents, score=score)
+    assert sum(n for n, _ in best_fit({300: 10}, capacity)) == 4
+    rnd = random.Random(3)
+    hot, short, spread = {300: 400}, {200: 500}, {}
+    for lengths, low, high in ((hot, 400, 1024), (short, 150, 400), (spread, 1, 1024)):
+        for _ in range(500):
+            x = rnd.randrange(low, high + 1)
+            lengths[x] = lengths.get(x, 0) + 1
+    for counts in (hot, short, spread, {7: 1000}, {1: 3000, 2: 5}):
+        mine = [lengths for n, lengths in best_fit(counts, capacity) for _ in range(n)]
+        assert sorted(mine) == sorted(single_pieces(counts, capacity))
+
+
 def test_packing_against_the_tokenizer(spark):
     public_tokenizers = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
