@@ -2,14 +2,15 @@
 
 Equal texts are an atomic group. Groups stand in the order of a hash of their text; that order is
 cut into `shards` runs so that the largest run is as small as possible. The smallest feasible
-capacity is found by binary search, and a greedy pass over the ordered sizes checks each try.
+capacity is found by binary search, and a greedy pass over the ordered sizes checks each try. A
+group larger than an even share has a shard of its own, and the others are cut as evenly as they can.
 To keep the searched list bounded whatever the corpus, groups with the same leading `bits` bits
 of the hash are one item of it, so a cut is exact to the size of one such item.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoprec.llm.common import spool
@@ -20,21 +21,27 @@ BITS = 16
 PART = 1024
 
 
-def cuts(sizes: DataFrame, shards: int) -> tuple[int, list[int]]:
-    """(capacity, last): the smallest capacity with which the items of (atom, bytes), in the order
-    of atom, fill at most `shards` runs, and the last atom of each run but the final one.
+def _sorted_items(alone: list[int]) -> Column:
+    """Items in the order of atom, at most 2^BITS; those that stand alone have -1 bytes."""
+    size = F.when(F.col("atom").isin(alone), F.lit(-1).cast("long")).otherwise(F.col("bytes")) if alone else F.col("bytes")
+    return F.array_sort(F.collect_list(F.struct("atom", size.alias("bytes"))))
 
-    Two queries of one row each. An item larger than an even share sets the capacity. Without
-    items: capacity 0, no runs.
-    """
+
+def _smallest(sizes: DataFrame, shards: int, alone: list[int], high: int | None) -> tuple[int, list[int]]:
+    """(capacity, full): the smallest capacity with which the items that do not stand alone fill at
+    most `shards` runs, none across an item that does, and the items of exactly this size; `high` is
+    a capacity that is enough, if known."""
+    free = ~F.col("atom").isin(alone) if alone else F.lit(True)
+    size = F.when(free, F.col("bytes"))
     whole = sizes.agg(
-        F.array_sort(F.collect_list(F.struct("atom", "bytes"))).alias("items"),  # at most 2^BITS items
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("total"),
-        F.coalesce(F.max("bytes"), F.lit(0)).alias("largest"),
+        _sorted_items(alone).alias("items"),
+        F.coalesce(F.sum(size), F.lit(0)).alias("total"),
+        F.coalesce(F.max(size), F.lit(0)).alias("largest"),
     )
     lowest = F.greatest("largest", F.ceil(F.col("total") / shards).cast("long"))
     # Any run closed by a greedy pass with this capacity exceeds capacity - largest.
-    highest = F.col("largest") + F.ceil(F.col("total") / shards).cast("long")
+    enough = F.col("largest") + F.ceil(F.col("total") / shards).cast("long")
+    highest = enough if high is None else F.lit(high).cast("long")
     start = F.struct(lowest.alias("low"), highest.alias("high"))
     middle = lambda s: F.floor((s["low"] + s["high"]) / 2).cast("long")
 
@@ -42,8 +49,9 @@ def cuts(sizes: DataFrame, shards: int) -> tuple[int, list[int]]:
         """Runs that a greedy pass makes with this capacity."""
         return F.aggregate(
             "items",
-            F.struct(F.lit(1).alias("runs"), F.lit(0).cast("long").alias("used")),
-            lambda s, x: F.when(
+            F.struct(F.lit(0).alias("runs"), capacity.alias("used")),
+            lambda s, x: F.when(x["bytes"] < 0, F.struct(s["runs"].alias("runs"), capacity.alias("used")))
+            .when(
                 s["used"] + x["bytes"] <= capacity,
                 F.struct(s["runs"].alias("runs"), (s["used"] + x["bytes"]).alias("used")),
             ).otherwise(F.struct((s["runs"] + 1).alias("runs"), x["bytes"].alias("used"))),
@@ -59,24 +67,92 @@ def cuts(sizes: DataFrame, shards: int) -> tuple[int, list[int]]:
             ),
         ).otherwise(s)
 
-    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.col("largest") + 2)).cast("int") + 1)
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(highest - lowest, F.lit(0)) + 2)).cast("int") + 1)
     capacity = whole.select(F.aggregate(steps, start, halved, lambda s: s["high"]).alias("capacity")).first()[0]
-    filled = F.aggregate(
+    # At most `shards` rows, as each needs a run of its own.
+    return capacity, [r["atom"] for r in sizes.where(size == capacity).select("atom").collect()]
+
+
+def cuts(sizes: DataFrame, shards: int) -> tuple[int, list[int]]:
+    """(capacity, last): the smallest capacity with which the items of (atom, bytes), in the order
+    of atom, fill at most `shards` runs, and the last atom of each run but the final one.
+
+    Sizes are 1 or more. An item as large as the capacity has a run of its own; the search is then
+    repeated for the items between such ones and the shards that remain, so that the other runs are
+    not filled up to it. What remains is cut near even shares. No shard is left empty while there
+    are items for it. All queries return one row for each item that stands alone at most. Without
+    items: capacity 0, no runs.
+    """
+    capacity, full = _smallest(sizes, shards, [], None)
+    if not capacity:
+        return 0, []
+    alone, each = sorted(full), capacity
+    while full and len(alone) < shards:
+        each, full = _smallest(sizes, shards - len(alone), alone, each)
+        if not each:  # all items stand alone
+            break
+        alone = sorted([*alone, *full])
+
+    # One row for each stretch of items between those that stand alone.
+    stretch = sum([(F.col("atom") > x).cast("int") for x in alone], F.lit(0))
+    rest = sizes.where(~F.col("atom").isin(alone)) if alone else sizes
+    stretches = rest.groupBy(stretch.alias("stretch")).agg(
+        F.sum("bytes").alias("total"), F.count("*").alias("n"), F.max("atom").alias("end"),
+        _sorted_items([]).alias("items"),
+    )
+    # The last atoms of the runs that a greedy pass from the end makes: so many are needed from an item on.
+    closing = F.aggregate(
+        F.reverse("items"),
+        F.struct(F.lit(each).cast("long").alias("used"), F.array().cast("array<int>").alias("closing")),
+        lambda s, x: F.when(
+            s["used"] + x["bytes"] <= each, F.struct((s["used"] + x["bytes"]).alias("used"), s["closing"].alias("closing"))
+        ).otherwise(F.struct(x["bytes"].alias("used"), F.array_append(s["closing"], x["atom"]).alias("closing"))),
+        lambda s: s["closing"],
+    )
+    stretches = stretches.withColumn("closing", closing)
+    parts = {r["stretch"]: r for r in stretches.select("stretch", "total", "n", "end", F.size("closing").alias("runs")).collect()}
+    runs = {k: r["runs"] for k, r in parts.items()}
+    for _ in range(shards - len(alone) - sum(runs.values())):
+        more = [k for k in runs if runs[k] < parts[k]["n"]]
+        if more:
+            runs[max(more, key=lambda k: (parts[k]["total"] / runs[k], -k))] += 1
+    last = [*alone, *(r["end"] for r in parts.values())]
+    if runs:
+        given = F.element_at(F.create_map(*[F.lit(x) for pair in runs.items() for x in pair]), F.col("stretch"))
+        for r in stretches.withColumn("given", given).select(_even(each).alias("last")).collect():
+            last.extend(r["last"])
+    return capacity, sorted(last)[:-1]
+
+
+def _even(capacity: int) -> Column:
+    """The last atom of each run but the final one when `items` are cut into `given` runs, each
+    closed where it is nearest to an even share of what is left, as far as `closing` and `n` allow."""
+
+    def step(s, x):
+        need = F.size(F.filter(s["closing"], lambda c: c >= x["atom"]))
+        over = s["used"] + x["bytes"]
+        # Nearer to the even share of used + left without the item than with it.
+        near = (s["used"] + over) * s["free"] >= 2 * (s["used"] + s["left"])
+        close = s["before"].isNotNull() & (need < s["free"]) & ((over > capacity) | (s["n"] < s["free"]) | near)
+        rest = (s["closing"].alias("closing"), (s["left"] - x["bytes"]).alias("left"), (s["n"] - 1).alias("n"),
+                x["atom"].alias("before"))
+        return F.when(
+            close,
+            F.struct(x["bytes"].alias("used"), *rest, (s["free"] - 1).alias("free"),
+                     F.array_append(s["last"], s["before"]).alias("last")),
+        ).otherwise(F.struct(over.alias("used"), *rest, s["free"].alias("free"), s["last"].alias("last")))
+
+    return F.aggregate(
         "items",
         F.struct(
-            F.lit(0).cast("long").alias("used"), F.lit(None).cast("int").alias("before"),
+            F.lit(0).cast("long").alias("used"), F.col("closing"),  # in the state: made once, not for each item
+            F.col("total").alias("left"), F.col("n").alias("n"),
+            F.lit(None).cast("int").alias("before"), F.col("given").alias("free"),
             F.array().cast("array<int>").alias("last"),
         ),
-        lambda s, x: F.when(
-            s["before"].isNull() | (s["used"] + x["bytes"] <= capacity),
-            F.struct((s["used"] + x["bytes"]).alias("used"), x["atom"].alias("before"), s["last"].alias("last")),
-        ).otherwise(
-            F.struct(x["bytes"].alias("used"), x["atom"].alias("before"),
-                     F.array_append(s["last"], s["before"]).alias("last"))
-        ),
+        step,
         lambda s: s["last"],
     )
-    return capacity, whole.select(filled.alias("last")).first()[0]
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text",

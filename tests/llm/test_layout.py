@@ -129,6 +129,28 @@ def test_smallest_capacity_and_cuts(spark):
     assert cuts(spark.createDataFrame([], "atom int, bytes long"), 4) == (0, [])
 
 
+@pytest.mark.parametrize("at", [0, 13, 27])
+def test_other_shards_are_near_equal_beside_a_large_group(spark, at):
+    rnd = random.Random(6)
+    sizes = [rnd.randrange(5, 15) for _ in range(400)]
+    sizes[10 * at : 10 * at] = [sum(sizes) // 2]  # a third of all bytes
+    capacity, last = cuts(spark.createDataFrame(list(enumerate(sizes)), "atom int, bytes long"), 16)
+    edges = [0, *[x + 1 for x in last], len(sizes)]
+    runs = [sum(sizes[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    assert len(runs) == 16 and max(runs) == capacity == max(sizes)
+    others = sorted(runs)[:-1]
+    assert others[-1] <= 1.2 * sum(others) / 15 and others[0] >= 0.8 * sum(others) / 15
+
+
+def test_no_shard_is_empty_while_there_are_items(spark):
+    for sizes, shards in (([1] * 100, 16), ([50, 1, 1, 60, 1, 60], 4), ([9, 9, 9], 5), ([100, 30, 1, 1, 1, 1, 30], 6)):
+        capacity, last = cuts(spark.createDataFrame(list(enumerate(sizes)), "atom int, bytes long"), shards)
+        edges = [0, *[x + 1 for x in last], len(sizes)]
+        runs = [sum(sizes[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+        assert len(runs) == min(shards, len(sizes)) and all(runs)
+        assert capacity == brute.smallest_capacity(sizes, shards) == max(runs)
+
+
 def test_shards(spark):
     rnd = random.Random(5)
     rows = [(i, "t" * rnd.randrange(200) + str(i % 90)) for i in range(300)]
