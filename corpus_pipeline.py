@@ -27,18 +27,29 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their id and text, `__key`. Decisions depend on nothing else, so rows
+    with a null or repeated id are told apart, and rows equal in both are judged alike."""
+    return docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones, the one with the smallest id. Documents without
-    words and those with a null id stay; rows that repeat an id and its text are one."""
-    found = jaccard_components(docs, n=SHINGLE, percent=SIMILAR)
-    kept = found.where(F.col("component_id") == F.col("doc_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    same = Window.partitionBy("doc_id", "__text").orderBy(F.lit(0))
-    once = (
-        named.withColumn("__text", F.xxhash64("text")).withColumn("__copy", F.row_number().over(same))
-        .where("__copy = 1").select(*docs.columns)
+    """One row of each group of similar documents, one with the smallest id, a null id last. Documents
+    without words stay; rows that repeat an id and its text are one, but not those without id and words."""
+    rows = keyed(docs)
+    found = jaccard_components(rows, n=SHINGLE, percent=SIMILAR, id_col="__key")
+    named = (
+        found.select(F.col("doc_id").alias("__key"), "n_shingles", F.col("component_id").alias("__group")).distinct()
+        .join(rows.select("__key", "doc_id").distinct(), "__key")
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id"), F.col("__key").alias("key")))
+    kept = named.groupBy("__group").agg(first.alias("first"), F.max("n_shingles").alias("__words"))
+    kept = kept.select(F.col("first.key").alias("__key"), "__words")
+    same = Window.partitionBy("__key").orderBy(F.lit(0))
+    return (
+        rows.join(kept, "__key").withColumn("__copy", F.row_number().over(same))
+        .where("__copy = 1 or (doc_id is null and __words = 0)").select(*docs.columns)
     )
-    return once.unionByName(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +62,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item in a half or more of its words."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    rows = keyed(docs)
+    found = contamination(rows, table(spark, sf_dir, "benchmark"), id_col="__key")
+    hit = found.select(F.col("doc_id").alias("__key")).distinct()
+    return rows.join(hit, "__key", "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

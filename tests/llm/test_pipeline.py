@@ -57,6 +57,24 @@ def test_each_stage(spark, folder):
     assert ids(table) - ids(free) == {207} and free.columns == table.columns
 
 
+def test_null_and_repeated_ids_are_judged_by_row(spark, tmp_path):
+    rnd = random.Random(2)
+    text = lambda n: " ".join(f"wort{rnd.randrange(99999)}" for _ in range(n))
+    item, a, b, c, d = text(25), text(40), text(40), text(40), text(40)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = dict(pipeline.STAGES)
+    rows = [(None, a), (None, f"{b} {item}"), (7, c), (7, f"{d} {item}"), (8, f"{a} {item}"), (9, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    free = stage["benchmark_decontamination"](spark, table, str(tmp_path))
+    assert {tuple(r) for r in free.collect()} == {(None, a), (7, c), (9, None)}
+    # Copies under a null id and under another; different texts of one id, one of them near another id's.
+    rows = [(None, a), (None, a), (None, b), (3, b + " more"), (5, c), (5, d), (2, d + " more"), (5, c), (6, c), (None, None), (None, ""), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    one = [tuple(r) for r in stage["ngram_jaccard_join"](spark, table, str(tmp_path)).collect()]
+    assert {r for r in one if r[1]} == {(None, a), (3, b + " more"), (5, c), (2, d + " more")}
+    assert len([r for r in one if r[1]]) == 4 and len(one) == 7
+
+
 def test_run(spark, folder):
     path, docs, _ = folder
     pieces = pipeline.run(spark, path).collect()
