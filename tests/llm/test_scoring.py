@@ -56,6 +56,15 @@ def test_votes_keep_clean_and_reject_faulty(spark):
     assert quality_by_votes(frame(spark, [])).count() == 0
 
 
+def test_verdict_is_no_bad_vote_at_a_moderate_share_of_good(spark):
+    rnd = random.Random(8)
+    clean = [(i, " ".join(f"word{rnd.randrange(5000)}" for _ in range(60))) for i in range(60)]
+    symbols = [(1000 + i, " ".join(w + "%%%" for w in t.split())) for i, t in clean[:10]]
+    capitals = [(2000 + i, t.upper()) for i, t in clean[10:20]]
+    got = quality_by_votes(frame(spark, [*clean, *symbols, *capitals, (3000, "short")])).collect()
+    assert all(r.kept == (not r.base_failed and all(r[c] != -1 for c in r.asDict() if c.startswith("vote_"))) for r in got)
+
+
 def all_paths(model, seq):
     """Probability of a sequence as the sum over all state paths."""
     total = 0.0
