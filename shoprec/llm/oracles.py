@@ -66,8 +66,36 @@ SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, gone::BIGINT AS n_removed,
 FROM d JOIN cut ON cut.doc_id = d.doc_id
 """
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positive AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+),
+ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.other_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id) AS rank
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op3_warc": _WARC,
     "op7_jaccard_join": _JACCARD,
     "op10_suffix_dedup": _REPEATS,
+    "op13_hard_negatives": _NEGATIVES,
 }

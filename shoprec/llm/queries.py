@@ -93,6 +93,17 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_summary(spark, path)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.hard_negatives import hard_negatives
+
+    rows = table(spark, sf_dir, "embeddings")
+    finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = rows.where(finite).select("vec_id", label.alias("label"), vector.alias("vector"))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -105,4 +116,5 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op12_token_files": op12_token_files,
+    "op13_hard_negatives": op13_hard_negatives,
 }
