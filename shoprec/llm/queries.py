@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=200).drop("kept", "carried")
 
 
+def looped(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """Where and with which period a document of n words goes on by repeating itself, by the CRC-32 of its
+    id; a null id has none and its text stays."""
+    if doc_id is None or n == 0:
+        return None
+    g, kind = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    a = g % n
+    return (a, 1 + (n - a) // (3 + g % 8)) if kind == 0 else None
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoprec.llm.periodic import run_digests
+
+    return run_digests(table(spark, sf_dir, "documents"), minimum=12, rewrite=looped)
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -115,6 +133,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_token_files": op12_token_files,
     "op13_hard_negatives": op13_hard_negatives,
 }
