@@ -31,6 +31,42 @@ def spool(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator, dropped one by one when their last reader has run.
+
+    A written table needs neither the shuffles that led to it nor the tables it was made from, so
+    disk holds what is still to be read and not the whole history of a job.
+    """
+
+    #: Spark's setting to remove the shuffle files of a query when it ends.
+    TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+        self.frames: dict[int, DataFrame] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        before = self.spark.conf.get(self.TIDY, "false")
+        path = work_dir(self.spark, name)
+        self.spark.conf.set(self.TIDY, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(self.TIDY, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)], self.frames[id(out)] = path, out  # the frame is held, so its id stays its own
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Remove tables written by this object; nothing may read them any more."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        for frame in frames:
+            self.frames.pop(id(frame))
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(frame)))
+            path.getFileSystem(conf).delete(path, True)
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with null texts as empty ones; all other columns are left behind, so that
     no column of the input can clash with those an operator makes."""

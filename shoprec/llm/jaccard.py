@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoprec.llm.common import spool, steps, texts_of
+from shoprec.llm.common import Scratch, steps, texts_of
 from shoprec.llm.components import components
 from shoprec.llm.words import mix, shingles, words
 
@@ -32,6 +32,9 @@ GROUP = 64
 BUCKET, FLUSH = 200_000, 2_000_000
 #: Sets that a group meets in one task, about.
 ASKING = 500
+#: Sets of a token from which its join is dealt to several tasks, and to how many at most; parts of
+#: the members of a large group.
+COMMON, SALTS = 2_000, 64
 
 
 def need(n: Column, percent: int) -> Column:
@@ -85,7 +88,7 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.where(counts > usual, 1 + np.log2(np.maximum(counts, 1) / usual) * 4, 0).astype(np.uint8)
 
 
-def verified(pairs: DataFrame, held: DataFrame, n: int, percent: int) -> DataFrame:
+def verified(scratch: Scratch, pairs: DataFrame, held: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set names whose sets reach the similarity."""
     left = held.select(F.col("s").alias("a"), F.col("text").alias("text_a"))
     right = held.select(F.col("s").alias("b"), F.col("text").alias("text_b"))
@@ -111,17 +114,17 @@ def verified(pairs: DataFrame, held: DataFrame, n: int, percent: int) -> DataFra
                     [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"]
                 )
 
-    return spool(both.mapInArrow(check, "a long, b long"), "links")
+    return scratch.write(both.mapInArrow(check, "a long, b long"), "links")
 
 
-def _within(opened: DataFrame, members: DataFrame, held: DataFrame, n: int, percent: int) -> DataFrame:
+def _within(scratch: Scratch, opened: DataFrame, members: DataFrame, held: DataFrame, n: int, percent: int) -> DataFrame:
     """Links (a, b) of sets with the members of the groups opened for them, of other components.
 
     A group of at most GROUP members meets at most about ASKING sets in a task; more sets are dealt
     to several copies of the group. The union of the group's tokens bounds each overlap first.
     """
     keys = ["g", "chunk", "part"]
-    parts = spool(
+    parts = scratch.write(
         opened.groupBy("g", "chunk").agg(F.ceil(F.count("*") / ASKING).cast("long").alias("parts")), "parts"
     )
     asking = opened.join(parts, ["g", "chunk"]).select(
@@ -159,9 +162,11 @@ def _within(opened: DataFrame, members: DataFrame, held: DataFrame, n: int, perc
                         links.append((s, t))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return spool(
+    far = scratch.write(
         asking.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(check, "a long, b long"), "far"
     )
+    scratch.drop(parts)
+    return far
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
@@ -174,51 +179,62 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
     equal sets are linked, repeated rows and ids too. A null id is no smallest id, unless alone.
     Other columns are not looked at. Without rows the result is empty.
     """
+    scratch = Scratch(docs.sparkSession)
     texts = texts_of(docs, id_col, text_col)
-    nodes, live = _nodes(texts, n, percent)
+    nodes, live = _nodes(scratch, texts, n, percent)
     least = nodes.where("n > 0").groupBy("s").agg(F.min("doc_id").alias("rep"))
-    held = _held(texts, live.select("s").distinct().join(least, "s"), n)
+    held = _held(scratch, texts, live.select("s").distinct().join(least, "s"), n)
 
     # First round: each set and the leader it shares most tokens with. A token is led by the set whose
     # tokens are the most common: an original rather than one of its changed copies.
-    weight = live.groupBy("s").agg(F.sum("df").alias("weight"))
-    leads = (
-        live.select("token", "s", "n").join(spool(weight, "weight"), "s").groupBy("token")
-        .agg(F.max(F.struct("weight", "s", "n")).alias("lead"))
-        .select("token", F.col("lead.s").alias("lead"), F.col("lead.n").alias("lead_n"))
+    weight = scratch.write(live.groupBy("s").agg(F.sum("df").alias("weight")), "weight")
+    leads = scratch.write(
+        live.select("token", "s", "n", "df").join(weight, "s").groupBy("token")
+        .agg(F.max(F.struct("weight", "s", "n")).alias("lead"), F.max("df").alias("df"))
+        .select("token", F.col("lead.s").alias("lead"), F.col("lead.n").alias("lead_n"), "df"),
+        "leads",
     )
-    led = (
-        live.select("token", "s", "n").join(spool(leads, "leads"), "token").where((F.col("s") != F.col("lead")) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")))
+    # The sets of a common token are dealt to several tasks, each with the token's leader.
+    salts = F.when(F.col("df") > COMMON, F.least(F.lit(SALTS), F.ceil(F.col("df") / COMMON))).otherwise(1)
+    salted = live.select("token", "s", "n", F.pmod(F.xxhash64("s"), salts).cast("long").alias("salt"))
+    spread = leads.select("token", "lead", "lead_n", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1)).alias("salt"))
+    led = scratch.write(
+        salted.join(spread, ["token", "salt"])
+        .where((F.col("s") != F.col("lead")) & (100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")))
         .groupBy("s", "lead").agg(F.count("*").alias("c"))
-        .groupBy("s").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead"))
+        .groupBy("s").agg(F.max_by("lead", F.struct("c", "lead")).alias("lead")),
+        "led",
     )
-    led = spool(led, "led")
-    near = verified(led.select(F.col("s").alias("a"), F.col("lead").alias("b")), held, n, percent)
-    group_of = spool(components(near), "groups")
+    scratch.drop(weight, leads)
+    near = verified(scratch, led.select(F.col("s").alias("a"), F.col("lead").alias("b")), held, n, percent)
+    group_of = scratch.write(components(near), "groups")
 
     # Second round: sets against groups that hold another component. A group is the sets with one
     # leader, linked or not, cut into chunks.
-    placed = spool(
+    placed = scratch.write(
         live.select("token", "s", "n").join(group_of.withColumnRenamed("node", "s"), "s", "left")
         .select("token", "s", "n", F.coalesce("component", "s").alias("own")),
         "placed",
     )
+    scratch.drop(live, group_of)
     mixed = placed.groupBy("token").agg(F.min("own").alias("x"), F.max("own").alias("y")).where("x <> y").select("token")
-    open_tokens = spool(placed.join(spool(mixed, "mixed"), "token"), "open")
-    members = open_tokens.select("s", "n", "own").distinct().join(led, "s", "left").select(
-        "s", "n", "own", F.coalesce("lead", "s").alias("g")
-    )
-    sizes = members.groupBy("g").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("chunks"))
-    members = spool(
-        members.join(sizes, "g").select("s", "n", "own", "g", F.pmod(F.xxhash64("s"), "chunks").alias("chunk")), "members"
+    mixed = scratch.write(mixed, "mixed")
+    open_tokens = scratch.write(placed.join(mixed, "token"), "open")
+    scratch.drop(placed, mixed)
+    members = _chunked(
+        open_tokens.select("s", "n", "own").distinct().join(led, "s", "left").select(
+            "s", "n", "own", F.coalesce("lead", "s").alias("g")
+        )
     )
+    members = scratch.write(members, "members")
+    scratch.drop(led)
     bounds = members.groupBy("g", "chunk").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("own").alias("x"), F.max("own").alias("y"),
         F.count("*").alias("m"),
     )
     where_ = members.select("s", F.col("g").alias("my_g"), F.col("chunk").alias("my_chunk"))
     asking = open_tokens.join(where_, "s")
-    matrix = spool(
+    matrix = scratch.write(
         asking.select("token", F.col("my_g").alias("g"), F.col("my_chunk").alias("chunk")).distinct()
         .join(bounds, ["g", "chunk"]),
         "matrix",
@@ -236,25 +252,41 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, id_col: s
         )
         .select("s", "own", "g", "chunk", "m")
     )
-    opened = spool(opened, "opened")
+    opened = scratch.write(opened, "opened")
+    scratch.drop(open_tokens, matrix)
     single = members.select(F.col("s").alias("b"), "g", "chunk")
     alone = opened.where("m = 1").join(single, ["g", "chunk"]).select(F.col("s").alias("a"), "b")
-    far = verified(alone, held, n, percent).unionByName(_within(opened.where("m > 1"), members, held, n, percent))
-    whole = spool(components(near.unionByName(far)), "components")
+    alone = verified(scratch, alone, held, n, percent)
+    far = _within(scratch, opened.where("m > 1"), members, held, n, percent)
+    scratch.drop(held, opened, members)
+    whole = scratch.write(components(near.unionByName(alone).unionByName(far)), "components")
+    scratch.drop(near, alone, far)
 
-    least = spool(least, "least")
     named = least.join(whole.withColumnRenamed("node", "s"), "s", "left").select(
         "s", "rep", F.coalesce("component", "s").alias("component")
     )
+    named = scratch.write(named, "named")
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    labels = spool(named.join(smallest, "component").select("s", "component_id"), "labels")
+    labels = scratch.write(named.join(smallest, "component").select("s", "component_id"), "labels")
+    scratch.drop(whole, named)
     return nodes.join(labels, "s", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
-def _nodes(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _chunked(members: DataFrame) -> DataFrame:
+    """Members (s, n, own, g) with a chunk of at most about GROUP for those of one group. Only groups
+    with more are joined, each in SALTS parts, so no task gets all members of a large one."""
+    large = members.groupBy("g").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("chunks")).where("chunks > 1")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("s", "g"), F.lit(SALTS)).cast("int"))
+    return salted.join(large.select("g", "chunks", every), ["g", "salt"], "left").select(
+        "s", "n", "own", "g", F.pmod(F.xxhash64("s"), F.coalesce("chunks", F.lit(1))).alias("chunk")
+    )
+
+
+def _nodes(scratch: Scratch, texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, s, n) for each row, and (token, s, n, df) for the first tokens of each set that
     another set has among its first ones too; `df` is the number of such sets.
 
@@ -288,7 +320,7 @@ def _nodes(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
                     ["doc_id", "s", "n", "tokens", "often"],
                 )
 
-    sets = spool(
+    sets = scratch.write(
         texts.mapInArrow(scan, "doc_id long, s long, n long, tokens array<long>, often array<long>"), "sets"
     )
     total = sets.agg(F.sum(F.size("tokens"))).first()[0] or 0
@@ -355,10 +387,13 @@ def _nodes(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     )
     usual = blocks.groupBy("bucket").applyInArrow(meet, kind)
     rows = sets.select(F.explode("often").alias("token"), "s", "n").distinct()
-    rows = spool(rows, "often")
-    common = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    often = rows.join(spool(common, "common"), "token").select("token", "s", "n", "df")
-    return sets.select("doc_id", "s", "n"), spool(usual.unionByName(often), "live")
+    rows = scratch.write(rows, "often")
+    common = scratch.write(rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "common")
+    often = rows.join(common, "token").select("token", "s", "n", "df")
+    live = scratch.write(usual.unionByName(often), "live")
+    nodes = scratch.write(sets.select("doc_id", "s", "n"), "nodes")
+    scratch.drop(rows, common, sets)
+    return nodes, live
 
 
 def _packed(tokens: np.ndarray) -> bytes:
@@ -372,16 +407,29 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _held(texts: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """(s, text) of the sets that may have a link."""
-    joined = texts.join(
-        reps.select("s", F.col("rep").alias("x_id")), F.col("doc_id").eqNullSafe(F.col("x_id"))
-    ).select("s", "text")
+def _held(scratch: Scratch, texts: DataFrame, reps: DataFrame, n: int) -> DataFrame:
+    """(s, text), one row for each of the sets that may have a link.
 
-    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A set's text is that of the row with its name and smallest id. A task sends a set once for each
+    id, and rows that repeat an id or have none meet only rows of their own set.
+    """
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             for step in steps(batch):
-                names = np.array([set_name(x) for x in shingles(*words(step["text"]), n)], np.int64)
-                yield step.filter(pa.array(names == step["s"].to_numpy(zero_copy_only=False)))
+                names = [set_name(x) for x in shingles(*words(step["text"]), n)]
+                keep = []
+                for i, key in enumerate(zip(names, step["x_id"].to_pylist(), strict=True)):
+                    if key[0] and key not in sent:
+                        sent.add(key)
+                        keep.append(i)
+                at = pa.array(keep, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.int64()).take(at), step["x_id"].take(at), step["text"].take(at)], ["s", "x_id", "text"]
+                )
 
-    return spool(joined.mapInArrow(same, "s long, text string"), "held")
+    x_id = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias("x_id")  # noqa: E731  equal sets may share one
+    named = texts.select(x_id("doc_id"), "text").mapInArrow(name, "s long, x_id long, text string")
+    joined = named.join(reps.select("s", x_id("rep")), ["s", "x_id"])
+    return scratch.write(joined.groupBy("s", "x_id").agg(F.first("text").alias("text")).select("s", "text"), "held")

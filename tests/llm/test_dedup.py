@@ -134,3 +134,70 @@ def test_loser_trees():
         assert [t for _, t, _ in out] == sorted(t for r in texts for t in r)
         for (_, a, _), (same, b, _) in zip(out, out[1:], strict=False):
             assert a[:same] == b[:same] and (a == b or a[same] != b[same])
+
+
+def test_many_rows_without_id_and_many_equal_rows(spark):
+    import time
+
+    rnd = random.Random(11)
+    base = [words_of(rnd, 40, 5000) for _ in range(1000)]
+    texts = []
+    for w in base:  # each text and a near copy
+        changed = list(w)
+        changed[rnd.randrange(len(w))] = "changed"
+        texts += [" ".join(w), " ".join(changed)]
+
+    def timed(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8).cache()
+        frame.count()
+        start = time.time()
+        found = jaccard_components(frame, 3, 80).collect()
+        return time.time() - start, found
+
+    timed([(i, t) for i, t in enumerate(texts[:50])])  # compiles
+    plain, found = timed([(i, t) for i, t in enumerate(texts)])
+    assert {r.component_id for r in found} == set(range(0, 2000, 2))
+    nameless, found = timed([(None, t) for t in texts])
+    assert len(found) == 2000 and {r.component_id for r in found} == {None} and all(r.n_shingles for r in found)
+    equal, found = timed([(i % 3, texts[0]) for i in range(1000)] + [(7, texts[1])] * 1000)
+    assert len(found) == 2000 and {r.component_id for r in found} == {0}
+    assert nameless < 2 * plain + 5 and equal < 2 * plain + 5
+
+
+def test_links_in_texts_beyond_a_block(spark):
+    rnd = random.Random(12)
+    w = words_of(rnd, 250_000, 10**6)  # over 1 MiB
+    assert len(" ".join(w)) > 1 << 20
+    near, far = list(w), list(w)
+    for k in range(0, 250_000, 100):
+        near[k] = "n"
+    for k in range(0, 250_000, 10):
+        far[k] = "f"
+    rows = [(5, " ".join(w)), (3, " ".join(near)), (4, " ".join(far))]
+    got = {r.doc_id: r for r in jaccard_components(frame(spark, rows), 3, 90).collect()}
+    shingled = {d: brute.shingles(t, 3) for d, t in rows}
+    assert {d: r.n_shingles for d, r in got.items()} == {d: len(x) for d, x in shingled.items()}
+    assert {d: r.component_id for d, r in got.items()} == {5: 3, 3: 3, 4: 4}
+
+
+def test_one_leader_with_many_chunks(spark, monkeypatch):
+    from shoprec.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "GROUP", 4)
+    monkeypatch.setattr(jaccard, "COMMON", 3)
+    rnd = random.Random(13)
+    core = words_of(rnd, 30, 9000)
+    rows = [(i, " ".join([*core, *words_of(rnd, rnd.randrange(0, 12), 9000)])) for i in range(120)]
+    found = jaccard_components(frame(spark, rows).repartition(5), 3, 80).collect()
+    assert sorted(map(tuple, found)) == sorted(brute.jaccard(rows, 3, 80))
+
+
+def test_intermediate_tables_go_when_read(spark, tmp_path, monkeypatch):
+    from shoprec.llm import common
+
+    monkeypatch.setattr(common, "work_dir", lambda _, name: f"{tmp_path}/{name}-{random.random()}")
+    found = jaccard_components(frame(spark, similar(3)), 3, 80)
+    left = {p.name.split("-")[0] for p in tmp_path.iterdir()}
+    assert left == {"nodes", "labels", "small"}  # the last are read by the result, and the components
+    assert spark.conf.get(common.Scratch.TIDY) == "false"
+    assert found.count() == len(similar(3))
