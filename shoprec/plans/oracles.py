@@ -235,6 +235,11 @@ ORACLES: dict[str, str] = {
     "vector_sim": _with(COSINES, select="SELECT productId, recProductId, score FROM cosines WHERE score > 0.4"),
     "vector_topk": _VECTOR_TOP,
     "vector_topk_blocks": _VECTOR_TOP,
+    "mips_topk": _with(COSINES, """
+        stretched AS (SELECT id, list_transform(v, lambda x: x * (1 + id % 7)) AS v FROM items)""", select="""
+        SELECT a.id AS vecId, b.id AS otherId, round(list_inner_product(a.v, b.v), 6) AS score,
+               (row_number() OVER (PARTITION BY a.id ORDER BY round(list_inner_product(a.v, b.v), 6) DESC, b.id))::INTEGER AS rank
+        FROM stretched a, stretched b QUALIFY rank <= 20"""),
     "rating_split": _with(RATINGS, SPLIT, select="""
         SELECT userId, CASE WHEN train THEN 'train' ELSE 'test' END AS side,
                count(*) AS ratings, sum(score) AS total

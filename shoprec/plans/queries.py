@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoprec.functions.scalars import dot, name_id, rounded
-from shoprec.operators import accounts, content, cooccur, factors, ranking, realtime, serving, stats, vectors
+from shoprec.operators import accounts, content, cooccur, factors, mips, ranking, realtime, serving, stats, vectors
 from shoprec.session import keep, work_dir
 from shoprec.sources import retail, text
 from shoprec.sources.tables import load_table, save_table
@@ -119,6 +119,19 @@ def als_user_recs(spark: SparkSession, sf: str) -> DataFrame:
     return factors.user_recs(factors.fit(retail.ratings(spark, sf)))
 
 
+def _stretched(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors, stretched to seven lengths."""
+    v = retail.vectors(spark, sf)
+    return v.select("id", F.transform("features", lambda x: x * (1 + F.col("id") % 7)).alias("features"))
+
+
+def mips_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors with the largest inner products of each vector, itself included."""
+    v = _stretched(spark, sf)
+    found = mips.max_products(v, v, NUM, part=256, block=64)
+    return found.select(F.col("id").alias("vecId"), F.col("other").alias("otherId"), "score", "rank")
+
+
 def als_item_sim(spark: SparkSession, sf: str) -> DataFrame:
     return factors.item_sim(factors.fit(retail.ratings(spark, sf)), k=NUM)
 
@@ -413,7 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         rate_more, rate_recent, average_score, top_rated_products, hot_products,
         distinct_users_products, cooccurrence, itemcf_topk, itemcf_lists, tfidf_weights,
-        content_sim, content_topk, content_hashed, vector_sim, vector_topk, vector_topk_blocks, als_user_recs,
+        content_sim, content_topk, content_hashed, vector_sim, vector_topk, vector_topk_blocks, mips_topk, als_user_recs,
         als_item_sim, als_fit_check, als_lists_check, als_holdout, als_grid, rating_split, rmse, latest_ratings, rating_queue,
         rating_upsert, stream_candidates, stream_scores, stream_replay, stream_two_batches, user_recs_lookup, registrations,
         preference_update, parse_rating_log, rejected_rating_log, format_rating_log,

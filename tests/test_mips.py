@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shoprec.operators import factors, mips
+
+KIND = "id int, features array<double>"
+
+
+def brute(queries, items, k, above):
+    out = []
+    for q, u in queries:
+        scored = []
+        for i, v in items:
+            s = float(np.round(sum(x * y for x, y in zip(u, v, strict=True)), 6))
+            if above is None or s > above:
+                scored.append((-s, i))
+        out += [(q, i, -s, r) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def vectors(rnd, n, width, spread):
+    return [(i, [round(rnd.gauss(0, 1) * spread(i), 3) for _ in range(width)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("above", [None, 0.0, 1.5])
+@pytest.mark.parametrize("case", ["lengths", "equal", "integers"])
+def test_lists_against_all_pairs(spark, case, above):
+    rnd = random.Random(len(case))
+    if case == "lengths":
+        items = vectors(rnd, 400, 4, lambda i: 5.0 / (1 + i % 40))
+    elif case == "equal":
+        one = [0.5, 1.0, -0.25, 2.0]
+        items = [(i, one) for i in range(150)] + [(200 + i, v) for i, v in vectors(rnd, 100, 4, lambda i: 1.0)]
+    else:
+        items = [(i, [float(rnd.randrange(-1, 2)) for _ in range(4)]) for i in range(300)]
+    queries = vectors(rnd, 70, 4, lambda i: 1.0 + i % 3) + [(500, [0.0] * 4)]
+    got = mips.max_products(
+        spark.createDataFrame([*queries, (None, [1.0] * 4), (501, None)], KIND), spark.createDataFrame(items, KIND),
+        5, above, part=32, block=8, together=2,
+    )
+    rows = sorted((r["id"], r["other"], r["score"], r["rank"]) for r in got.collect())
+    wanted = brute(queries, items, 5, above)
+    assert [r[:2] + r[3:] for r in rows] == [r[:2] + r[3:] for r in wanted]
+    assert np.allclose([r[2] for r in rows], [r[2] for r in wanted], atol=2e-6)
+    assert "Cartesian" not in got._jdf.queryExecution().toString()
+
+
+def test_queries_stop_early(spark):
+    rnd = random.Random(7)
+    items = spark.createDataFrame(vectors(rnd, 2000, 6, lambda i: 4.0 / (1 + i / 50)), KIND)
+    queries = spark.createDataFrame(vectors(rnd, 200, 6, lambda i: 1.0), KIND)
+    parts, longest = mips.item_parts(items, 64)
+    assert len(longest) >= 20 and (np.diff(longest) <= 0).all()
+    first = mips.first_lists(queries, parts, longest, 10)
+    visited = first.agg(F.sum(F.col("last") + 1)).first()[0]
+    assert visited < 0.25 * 200 * len(longest)
+
+
+def test_without_items_or_queries(spark):
+    some, none = spark.createDataFrame([(1, [1.0, 2.0])], KIND), spark.createDataFrame([], KIND)
+    assert mips.max_products(some, none, 3).count() == 0
+    assert mips.max_products(none, some, 3).count() == 0
+
+
+def test_user_lists_are_the_best_of_all_products(spark, ratings):
+    rnd = random.Random(1)
+    model = factors.fit(ratings(*[(u, rnd.randrange(60), float(rnd.randrange(1, 6))) for u in range(40) for _ in range(6)]))
+    got = sorted((r["userId"], r["rank"], r["score"]) for r in factors.user_recs(model, 7).collect())
+    u = [(r["id"], list(r["features"])) for r in model.userFactors.collect()]
+    v = [(r["id"], list(r["features"])) for r in model.itemFactors.collect()]
+    wanted = sorted((q, r, s) for q, _, s, r in brute(u, v, 7, 0.0))
+    assert [r[:2] for r in got] == [r[:2] for r in wanted]
+    assert np.allclose([r[2] for r in got], [r[2] for r in wanted], atol=2e-6)
