@@ -319,7 +319,8 @@ def _log(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.regexp_replace(line, r"\|-?\d+$", ""))
     )
     noise = retail.table(spark, sf, "documents").select(F.col("text").alias("value"))
-    return rows.select(value.alias("value")).unionByName(noise)
+    made = rows.select(F.explode(F.array(value)).alias("value"))  # a line is put together once, then read as from a file
+    return made.unionByName(noise)
 
 
 def parse_rating_log(spark: SparkSession, sf: str) -> DataFrame:
