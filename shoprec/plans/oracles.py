@@ -251,6 +251,28 @@ ORACLES: dict[str, str] = {
         WHERE NOT t.train"""),
     "latest_ratings": _with(RATINGS, LATEST, select="""
         SELECT userId, seq, productId, score, timestamp FROM latest WHERE seq <= 21"""),
+    "stream_queue": _with(RATINGS, LATEST, select="""
+        SELECT userId, seq, productId, score FROM latest WHERE seq <= 40"""),
+    "stream_from_position": _with(RATINGS, select="""
+        SELECT userId, productId, score::DOUBLE AS score, timestamp FROM ratings WHERE linenumber > 1"""),
+    "rating_documents": _with(RATINGS, select="""
+        SELECT userId, productId, score::DOUBLE AS score, timestamp FROM ratings WHERE userId % 11 <> 0"""),
+    "rejected_rating_documents": _with(RATINGS, select="""
+        SELECT '{"userId":' || userId || ',"productId":' || productId || ',"score":' || score::DOUBLE
+               || ',"timestamp":' || timestamp AS value FROM ratings WHERE userId % 11 = 0"""),
+    "fold_in": _with(RATINGS, COSINES, """
+        sums AS (
+          SELECT userId, count(*) AS n, sum(v[1] * v[1]) AS a, sum(v[1] * v[2]) AS b, sum(v[2] * v[2]) AS c,
+                 sum(v[1] * score) AS x, sum(v[2] * score) AS y
+          FROM ratings JOIN items ON id = productId GROUP BY 1
+        ),
+        equations AS (SELECT userId, n, a + 0.01 * n AS a, b, c + 0.01 * n AS c, x, y FROM sums)""", select="""
+        SELECT userId, n AS ratings, round((c * x - b * y) / (a * c - b * b), 6) AS u1,
+               round((a * y - b * x) / (a * c - b * b), 6) AS u2 FROM equations"""),
+    "product_search_indexed": _with(RATINGS, PRODUCTS, MEANS, select="""
+        SELECT p.productId, name, imageUrl, categories, tags, round(coalesce(m.avg, 0), 6) AS avg
+        FROM products p LEFT JOIN means m ON m.productId = p.productId
+        WHERE regexp_matches(name, 'ring|lemon.*(green|blue)|hot( |$)')"""),
     "rating_queue": _with(RATINGS, LATEST, select="""
         SELECT userId, seq, productId, score FROM latest WHERE seq <= 40"""),
     "rating_upsert": _with(RATINGS, LATEST, select="""

@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoprec.functions.scalars import dot, name_id, rounded
-from shoprec.operators import accounts, content, cooccur, factors, mips, ranking, realtime, serving, stats, vectors
+from shoprec.operators import accounts, content, cooccur, factors, mips, ranking, realtime, search, serving, stats, vectors
+from shoprec.schemas import RATING, conform
 from shoprec.session import keep, work_dir
-from shoprec.sources import retail, text
+from shoprec.sources import retail, text, topic
 from shoprec.sources.tables import load_table, save_table
-from shoprec.streaming import replay
+from shoprec.streaming import queues, replay
 
 NUM = 20
 LOOKUP_NUM = 5
 SEARCH = "ring|ge[a-z]r"
+SEARCH_LITERAL = "ring|lemon.*(green|blue)|hot( |$)"
 NOW = 1_700_000_000
 
 
@@ -270,6 +272,82 @@ def user_recs_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return serving.recs_for(users, load_table(spark, root, "user_recs"), "userId", LOOKUP_NUM).select("userId", "rank")
 
 
+def stream_queue(spark: SparkSession, sf: str) -> DataFrame:
+    """Recent-rating queues kept in the state of a stream: history first, then the three newest ratings of
+    each user in two micro-batches."""
+    root = work_dir(spark, "queues")
+    ratings = retail.ratings(spark, sf, order=True)
+    place = (F.col("orderkey") * 10 + F.col("linenumber")).alias("place")
+    newest = keep(ranking.latest_n(ratings, realtime.QUEUE + 3, order=retail.ORDER).select(
+        "userId", "productId", "score", "timestamp", place, "seq"
+    ))
+    for n, some in enumerate((F.col("seq") == 3, F.col("seq") < 3)):
+        newest.where(some).drop("seq").coalesce(1).write.mode("append").parquet(f"{root}/events/batch={n}")
+    events = spark.readStream.schema(
+        "userId int, productId int, score double, timestamp bigint, place bigint"
+    ).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{root}/events")
+
+    def log(rows: DataFrame, batch: int) -> None:
+        rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{root}/log/part={batch}")
+
+    history = newest.where(F.col("seq") > 3)
+    queues.start_recent_queues(events, f"{root}/progress", log, history, trigger={"availableNow": True}).awaitTermination()
+    kept = queues.newest_queues(spark.read.parquet(f"{root}/log"))
+    return kept.select("userId", "seq", "productId", "score")
+
+
+def stream_from_position(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings of a message folder from a position in its middle on, and, once the stream goes on from its
+    checkpoint, of the messages that came later."""
+    root = work_dir(spark, "topic")
+    orders = retail.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    sold = retail.table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    fields = ("o_custkey", "l_partkey", F.col("l_quantity") % 5 + 1, retail.seconds(F.col("o_orderdate")))
+    value = F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in fields])
+    lines = keep(sold.select(value.alias("value"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("place"), "l_linenumber"))
+    early = lines.where("l_linenumber <= 3")
+    middle = topic.publish(early.where("l_linenumber = 1"), f"{root}/messages")
+    end = topic.publish(early.where("l_linenumber > 1"), f"{root}/messages", middle)
+
+    def take() -> None:
+        messages = topic.read_messages(spark, f"{root}/messages", middle)
+        good, _ = text.parse_ratings(messages)
+        good.writeStream.format("parquet").option("path", f"{root}/ratings").option(
+            "checkpointLocation", f"{root}/progress"
+        ).trigger(availableNow=True).start().awaitTermination()
+
+    take()
+    topic.publish(lines.where("l_linenumber > 3"), f"{root}/messages", end)
+    take()
+    return spark.read.parquet(f"{root}/ratings").select("userId", "productId", "score", "timestamp")
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings as JSON texts, those of every eleventh user cut short."""
+    rows = conform(retail.ratings(spark, sf), RATING)
+    whole = text.to_documents(rows)
+    cut = F.when(F.get_json_object("value", "$.userId").cast("int") % 11 == 0, F.regexp_replace("value", r"\}$", ""))
+    return whole.select(F.explode(F.array(F.coalesce(cut, F.col("value")))).alias("value"))
+
+
+def rating_documents(spark: SparkSession, sf: str) -> DataFrame:
+    good, _ = text.parse_documents(_documents(spark, sf), RATING)
+    return good
+
+
+def rejected_rating_documents(spark: SparkSession, sf: str) -> DataFrame:
+    _, rejected = text.parse_documents(_documents(spark, sf), RATING)
+    return rejected
+
+
+def fold_in(spark: SparkSession, sf: str) -> DataFrame:
+    """Factors of users for fixed item factors: the first two components of the vector with the product's id."""
+    items = retail.vectors(spark, sf).select("id", F.slice("features", 1, 2).alias("features"))
+    found = factors.fold_in(items, retail.ratings(spark, sf))
+    part = lambda i: rounded(F.element_at("features", i))
+    return found.select(F.col("id").alias("userId"), "ratings", part(1).alias("u1"), part(2).alias("u2"))
+
+
 def registrations(spark: SparkSession, sf: str) -> DataFrame:
     """Names asked for: the buyer of every order, all taken, and the supplier of every line."""
     buyers = retail.table(spark, sf, "orders").join(
@@ -391,6 +469,15 @@ def product_search(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("avg", rounded(F.col("avg")))
 
 
+def product_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Search by stored trigrams of the names."""
+    products, root = retail.products(spark, sf), work_dir(spark, "grams")
+    search.save_grams(products, root)
+    means = stats.average_score(retail.ratings(spark, sf))
+    found = search.search_indexed(spark, root, products, means, SEARCH_LITERAL)
+    return found.withColumn("avg", rounded(F.col("avg")))
+
+
 def product_info(spark: SparkSession, sf: str) -> DataFrame:
     ratings = retail.ratings(spark, sf)
     ids = serving.entities(ratings, "productId")
@@ -429,9 +516,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         distinct_users_products, cooccurrence, itemcf_topk, itemcf_lists, tfidf_weights,
         content_sim, content_topk, content_hashed, vector_sim, vector_topk, vector_topk_blocks, mips_topk, als_user_recs,
         als_item_sim, als_fit_check, als_lists_check, als_holdout, als_grid, rating_split, rmse, latest_ratings, rating_queue,
-        rating_upsert, stream_candidates, stream_scores, stream_replay, stream_two_batches, user_recs_lookup, registrations,
-        preference_update, parse_rating_log, rejected_rating_log, format_rating_log,
+        rating_upsert, stream_candidates, stream_scores, stream_replay, stream_two_batches, stream_queue, stream_from_position, fold_in, user_recs_lookup, registrations,
+        preference_update, parse_rating_log, rejected_rating_log, format_rating_log, rating_documents, rejected_rating_documents,
         load_products, load_ratings, recs_lookup, content_lookup, recs_by_username,
-        product_search, product_info, user_by_name, score_scale, user_hash,
+        product_search, product_search_indexed, product_info, user_by_name, score_scale, user_hash,
     )
 }
