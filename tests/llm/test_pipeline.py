@@ -90,3 +90,54 @@ def test_run(spark, folder):
 def test_run_on_the_test_tables(spark):
     pieces = pipeline.run(spark, str(DATA))
     assert pieces.count() > 0
+
+
+CLASHING = ("doc_id long, text string, lang string, source string, n_chars long, __key long, __group string, s string, "
+            "name int, kept string, carried string, p_toxic double, token long, a string, b string")
+EXTRA = (5, "g", "s", 1, "k", "c", 0.5, 9, "a", "b")
+
+
+def judged(spark, path, rows):
+    """Each stage over rows with columns named as the stages and operators name their own."""
+    table = spark.createDataFrame([(i, t, "de", "src", len(t or ""), *EXTRA) for i, t in rows], CLASHING)
+    out = {}
+    for name, stage in pipeline.STAGES:
+        got = stage(spark, table, path)
+        out[name] = got
+        if name != "best_fit_packing":
+            assert got.columns == table.columns, name
+            assert all(tuple(r)[5:] == EXTRA for r in got.collect()), name
+    return out
+
+
+def test_stages_with_clashing_columns_and_long_texts(spark, folder):
+    path, _, _ = folder
+    rnd = random.Random(9)
+    long = " ".join(f"wort{rnd.randrange(10**6)}" for _ in range(160_000))
+    assert len(long) > 1 << 20
+    rows = [(i, " ".join(f"wort{rnd.randrange(99999)}" for _ in range(60))) for i in range(10)]
+    rows += [(50, long), (51, long + " more"), (None, None), (None, ""), (None, None), (7, rows[7][1])]
+    got = judged(spark, path, rows)
+    texts = lambda name: sorted(((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got[name].collect()))
+    every = sorted((i is None, i or 0, t or "") for i, t in rows)
+    assert texts("toxicity") == every and texts("benchmark_decontamination") == every
+    assert texts("ngram_jaccard_join") == sorted((i is None, i or 0, t or "") for i, t in rows[:11] + rows[12:15])
+    plain = {i: max(len(t) - 200, 0) for i, t in rows if i is not None and i < 50}
+    cut = {r.doc_id: len(r.text) for r in got["suffix_array_dedup"].collect() if r.doc_id is not None}
+    assert cut[50] == 0 and cut[51] <= 199 and cut[7] == 0 and all(cut[i] >= plain[i] for i in plain if i != 7)
+    pieces = got["best_fit_packing"].collect()
+    assert sum(r.doc_id == 50 for r in pieces) > 100 and sum(r.doc_id is None for r in pieces) == 3
+
+
+def test_stages_of_no_documents(spark, folder):
+    path, _, _ = folder
+    assert all(df.count() == 0 for df in judged(spark, path, []).values())
+
+
+def test_of_equal_rows_the_first_by_its_other_columns_stays(spark, folder):
+    path, _, _ = folder
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, lang, "x") for lang in ("fr", "de", "en") for _ in range(40)] + [(2, text, "aa", "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(7)
+    one = dict(pipeline.STAGES)["ngram_jaccard_join"](spark, table, path)
+    assert [tuple(r) for r in one.collect()] == [(1, text, "de", "x")]
