@@ -26,8 +26,8 @@ SHORTEST, COVERAGE = 5, 0.5
 
 
 def _seeds(items: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame]:
-    """(item_id, words) and (seed, size, item_id), the seeds of an item once each. An item with
-    fewer words than the shortest match is one seed."""
+    """(i, item_id, words) and (seed, size, i), the seeds of an item once each. An item with
+    fewer words than the shortest match is one seed. `i` names an id and its words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -41,7 +41,7 @@ def _seeds(items: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, seeds, sizes = [], [], []
-            for item, own in zip(batch["item_id"].to_pylist(), batch["words"], strict=True):
+            for item, own in zip(batch["i"].to_pylist(), batch["words"], strict=True):
                 own = np.asarray(own.values.to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
                 size = min(shortest, len(own))
                 if size:
@@ -51,13 +51,12 @@ def _seeds(items: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame]:
                     seeds.append(found.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([np.empty(0, np.int64), *seeds])), pa.array(sizes, pa.int32()), pa.array(ids, pa.int64())],
-                ["seed", "size", "item_id"],
+                ["seed", "size", "i"],
             )
 
-    listed = spool(
-        items.mapInArrow(scan, "item_id long, words array<long>").where(F.size("words") > 0).distinct(), "items"
-    )
-    return listed, spool(listed.mapInArrow(cut, "seed long, size int, item_id long"), "seeds")
+    listed = items.mapInArrow(scan, "item_id long, words array<long>").where(F.size("words") > 0).distinct()
+    listed = spool(listed.withColumn("i", F.xxhash64("item_id", "words")), "items")
+    return listed, spool(listed.mapInArrow(cut, "seed long, size int, i long"), "seeds")
 
 
 def _filter(seeds: DataFrame) -> np.ndarray:
@@ -74,66 +73,87 @@ def _filter(seeds: DataFrame) -> np.ndarray:
     return out
 
 
-def mark_tiles(text: list[int], item: list[int], shortest: int) -> tuple[int, int]:
+def mark_tiles(text: np.ndarray, item: np.ndarray, shortest: int) -> tuple[int, int]:
     """(words of the item marked, number of tiles) by running Karp-Rabin greedy string tiling.
 
-    The search length starts at the item's and falls to the longest match seen below it; matches of
+    The search length falls from the longest match of unmarked words to the next longest; matches of
     that length are marked unless a word of theirs is marked already. Equal lengths: first in the
     item, then first in the text.
     """
-    n, m = len(text), len(item)
-    in_text, in_item = bytearray(n), bytearray(m)
-    shortest = min(shortest, m)
-    tiles = 0
-    length = min(n, m)
-    while length >= shortest and length:
-        found, longest = _matches(text, item, in_text, in_item, shortest, length)
-        if not found:
-            length = longest
-            continue
-        for i, j in found:
-            if any(in_item[j : j + length]) or any(in_text[i : i + length]):
+    text, item = np.asarray(text, np.int64).view(np.uint64), np.asarray(item, np.int64).view(np.uint64)
+    shortest = min(shortest, len(item))
+    top = max(len(text), len(item)) + 1
+    ours, theirs = _Runs(text, top), _Runs(item, top)
+    tiles, length = 0, min(len(text), len(item))
+    while shortest and (length := _longest(ours, theirs, shortest, length)):
+        places, hashes = ours.free(length)
+        order = np.argsort(hashes, kind="stable")
+        places, hashes = places[order], hashes[order]
+        at, wanted = theirs.free(length)
+        low, high = np.searchsorted(hashes, wanted, "left"), np.searchsorted(hashes, wanted, "right")
+        hit = np.flatnonzero(low < high)
+        behind: dict[int, int] = {}  # places of a hash passed over; a marked one stays marked
+        for j, a, b in zip(at[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
+            if theirs.taken(j, length):
                 continue
-            in_item[j : j + length] = b"\x01" * length
-            in_text[i : i + length] = b"\x01" * length
-            tiles += 1
-    return sum(in_item), tiles
-
-
-def _matches(text, item, in_text, in_item, shortest: int, length: int) -> tuple[list[tuple[int, int]], int]:
-    """Matches of `length` unmarked words as (place in the text, place in the item), and the longest
-    match that is shorter (0: none as long as the shortest)."""
-    places: dict[int, list[int]] = {}
-    for i, value in _rolling(text, in_text, shortest):
-        places.setdefault(value, []).append(i)
-    found, longest = [], 0
-    for j, value in _rolling(item, in_item, shortest):
-        for i in places.get(value, ()):
-            k = 0
-            while (k < length and i + k < len(text) and j + k < len(item) and text[i + k] == item[j + k]
-                   and not in_text[i + k] and not in_item[j + k]):
+            k = behind.get(a, a)
+            while k < b and ours.taken(int(places[k]), length):
+                k += 1
+            behind[a] = k
+            while k < b:  # the first free place, if its words are equal and not only the hash
+                i = int(places[k])
+                if not ours.taken(i, length) and np.array_equal(text[i : i + length], item[j : j + length]):
+                    ours.marked[i : i + length] = theirs.marked[j : j + length] = True
+                    tiles += 1
+                    break
                 k += 1
-            if k >= length:
-                found.append((i, j))
-            elif k >= shortest:
-                longest = max(longest, k)
-    return sorted(found, key=lambda x: (x[1], x[0])), longest
-
-
-def _rolling(tokens, marked, size: int) -> Iterator[tuple[int, int]]:
-    """(place, hash) of each run of `size` unmarked words, by a rolling hash."""
-    base, modulus = 1_000_003, (1 << 61) - 1
-    top = pow(base, size, modulus)
-    value = run = 0
-    for i, t in enumerate(tokens):
-        if marked[i]:
-            value = run = 0
-            continue
-        value, run = (value * base + t) % modulus, run + 1
-        if run > size:
-            value, run = (value - top * tokens[i - size]) % modulus, size
-        if run == size:
-            yield i - size + 1, value
+        length -= 1
+    return int(theirs.marked.sum()), tiles
+
+
+class _Runs:
+    """Words, which of them are marked, and running hashes of the unmarked stretches of any length."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, words: np.ndarray, top: int):
+        n = len(words)
+        self.marked = np.zeros(n, bool)
+        powers = np.full(top + 1, self.BASE, np.uint64)
+        powers[0] = 1
+        self.powers = np.cumprod(powers, dtype=np.uint64)
+        # Sums of word x base^(top - place): the difference of two, times base^place, is the hash of a run,
+        # the same in all words with one `top`.
+        self.sums = np.concatenate(([np.uint64(0)], np.cumsum(words * self.powers[top : top - n : -1], dtype=np.uint64)))
+
+    def free(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the runs without a marked word, in order, and their hashes."""
+        before = np.concatenate(([0], np.cumsum(self.marked)))
+        at = np.flatnonzero(before[length:] == before[: len(before) - length])
+        return at, (self.sums[at + length] - self.sums[at]) * self.powers[at]
+
+    def taken(self, at: int, length: int) -> bool:
+        """Whether a run holds a marked word. Tiles are as long as the run at least, so one of its ends is."""
+        return bool(self.marked[at] or self.marked[at + length - 1])
+
+
+def _lists(col: pa.ListArray) -> Iterator[np.ndarray]:
+    """The lists one by one, without copying their words."""
+    for one in col:
+        yield one.values.to_numpy(zero_copy_only=False)
+
+
+def _longest(ours: _Runs, theirs: _Runs, least: int, most: int) -> int:
+    """The greatest length of `least` to `most` with an unmarked run in common, 0 without one. A match
+    holds shorter ones, so it is found by bisection."""
+    found = 0
+    while least <= most:
+        middle = (least + most + 1) // 2 if found else least
+        if np.isin(theirs.free(middle)[1], ours.free(middle)[1]).any():
+            found, least = middle, middle + 1
+        else:
+            most = middle - 1
+    return found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST, coverage: float = COVERAGE,
@@ -185,26 +205,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTES
                     ["doc_id", "words", "seeds"],
                 )
 
-    held = spool(
-        texts_of(docs, id_col, text_col).mapInArrow(scan, "doc_id long, words array<long>, seeds array<long>"), "stretches"
-    )
+    # A part is named by its id and words, so rows with a null or repeated id meet their own items
+    # only. Were two names equal, more pairs would be looked at and none found that is not one.
+    held = texts_of(docs, id_col, text_col).mapInArrow(scan, "doc_id long, words array<long>, seeds array<long>").distinct()
+    held = spool(held.withColumn("d", F.xxhash64("doc_id", "words")), "stretches")
     pairs = spool(
-        held.select("doc_id", F.explode("seeds").alias("seed")).join(seeds.select("seed", "item_id"), "seed")
-        .select("doc_id", "item_id").distinct(),
+        held.select("d", F.explode("seeds").alias("seed")).join(seeds.select("seed", "i"), "seed").select("d", "i").distinct(),
         "pairs",
     )
-    parts = held.select(F.col("doc_id").alias("d"), F.col("words").alias("doc_words")).distinct()
-    texts = items.select(F.col("item_id").alias("i"), F.col("words").alias("item"))
-    joined = (
-        pairs.join(parts, F.col("doc_id").eqNullSafe(F.col("d")))
-        .join(texts, F.col("item_id").eqNullSafe(F.col("i")))
-        .select("doc_id", "item_id", "doc_words", "item")
-    )
+    parts = held.select("d", "doc_id", F.col("words").alias("doc_words"))
+    texts = items.select("i", "item_id", F.col("words").alias("item"))
+    joined = pairs.join(parts, "d").join(texts, "i").select("doc_id", "item_id", "doc_words", "item")
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for d, i, text, item in zip(*[batch[c].to_pylist() for c in ("doc_id", "item_id", "doc_words", "item")], strict=True):
+            for d, i, text, item in zip(
+                batch["doc_id"].to_pylist(), batch["item_id"].to_pylist(), _lists(batch["doc_words"]), _lists(batch["item"]),
+                strict=True,
+            ):
                 marked, tiles = mark_tiles(text, item, shortest)
                 if marked >= coverage * len(item):
                     rows.append((d, i, len(item), marked, tiles, marked / len(item)))

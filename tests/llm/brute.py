@@ -106,3 +106,24 @@ def smallest_capacity(sizes, shards):
         if runs <= shards:
             return capacity
     return 0
+
+
+def tiles(text, item, shortest):
+    """(words of the item marked, number of tiles) by greedy string tiling, all pairs of places."""
+    shortest = min(shortest, len(item))
+    a, b, count = [False] * len(text), [False] * len(item), 0
+    while shortest:
+        best = (0, 0, 0)
+        for j in range(len(item)):
+            for i in range(len(text)):
+                k = 0
+                while i + k < len(text) and j + k < len(item) and text[i + k] == item[j + k] and not a[i + k] and not b[j + k]:
+                    k += 1
+                if k > best[0]:
+                    best = (k, i, j)
+        k, i, j = best
+        if k < shortest:
+            break
+        a[i : i + k] = b[j : j + k] = [True] * k
+        count += 1
+    return sum(b), count

@@ -3,6 +3,7 @@ import hashlib
 import random
 import struct
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -217,6 +218,58 @@ def test_tiles():
     assert mark_tiles([], item, 5) == (0, 0) and mark_tiles([5], [5], 5) == (1, 1)
 
 
+def test_tiles_equal_plain_greedy_tiling():
+    rnd = random.Random(8)
+    for _ in range(400):
+        kinds = rnd.choice([1, 2, 3, 6])
+        text = [rnd.randrange(1, kinds + 1) for _ in range(rnd.randrange(0, 40))]
+        item = [rnd.randrange(1, kinds + 1) for _ in range(rnd.randrange(0, 16))]
+        shortest = rnd.choice([1, 2, 5])
+        assert mark_tiles(text, item, shortest) == brute.tiles(text, item, shortest), (text, item, shortest)
+
+
+def test_tiles_of_a_long_repetitive_text():
+    begun = time.monotonic()
+    assert mark_tiles([7] * 100_000, [7] * 60, 5) == (60, 1)
+    assert mark_tiles([7, 8] * 50_000, [*[7] * 30, *[7, 8] * 15], 5) == (30, 1)
+    assert time.monotonic() - begun < 4
+
+
+def test_contamination_of_rows_without_ids_and_with_one_id(spark):
+    rnd = random.Random(3)
+    items = [(i, " ".join(f"b{i}w{rnd.randrange(40)}" for _ in range(12))) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    clean = [(None, f"clean words {i} here and there") for i in range(500)]
+    rows = [*clean, *[(None, f"text {i % 700} {items[i % 20][1]}") for i in range(1000)], *[(5, f"text {i} {items[3][1]}") for i in range(500)]]
+    got = contamination(frame(spark, rows), bench).collect()
+    want = {(None, i) for i in range(20)} | {(5, 3)}
+    assert sorted((str(r.doc_id), r.item_id) for r in got) == sorted((str(d), i) for d, i in want)
+    assert all(r.matched_words == 12 and r.tiles == 1 for r in got)
+
+
+def test_contamination_equals_plain_tiling(spark):
+    rnd = random.Random(12)
+    prose = lambda n: [f"w{rnd.randrange(30)}" for _ in range(n)]
+    items = [(i, prose(rnd.choice([1, 3, 8, 20, 60]))) for i in range(40)]
+    docs = []
+    for i in range(120):
+        own = prose(rnd.choice([0, 4, 30, 200]))
+        for _ in range(rnd.randrange(3)):
+            part = rnd.choice(items)[1]
+            cut = rnd.randrange(len(part))
+            own += [*part[cut:], *prose(2), *part[:cut]]
+        docs.append((i, own))
+    want = set()
+    for d, text in docs:
+        for i, item in items:
+            marked, count = brute.tiles(text, item, 5)
+            if count and marked >= 0.5 * len(item):
+                want.add((d, i, len(item), marked, count))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id int, text string")
+    found = contamination(frame(spark, [(d, " ".join(w)) for d, w in docs]), bench).collect()
+    assert {(r.doc_id, r.item_id, r.item_words, r.matched_words, r.tiles) for r in found} == want and want
+
+
 def test_contamination(spark):
     rnd = random.Random(9)
     text = lambda n, tag="w": " ".join(f"{tag}{rnd.randrange(9999)}" for _ in range(n))
