@@ -1,8 +1,8 @@
 """Toxicity by a chain of linear classifiers.
 
 Categories are predicted one after the other. Each is a logistic model over word indicators and the
-probabilities of the categories before it; in training those are out-of-fold predictions, so that a
-later model meets them as unsure as it will later. Words are runs of letters, lower-cased (A-Z);
+probabilities of the categories before it; in training those are out-of-fold predictions, of words and
+a lexicon mined without the fold too, so that a later model meets them as unsure as it will later. Words are runs of letters, lower-cased (A-Z);
 indicators are of whole words and of their first bytes, as insults are also inflected and compounded.
 """
 
@@ -109,22 +109,30 @@ def found_in(names: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, names[at] == word
 
 
-def chain(row: np.ndarray, at: np.ndarray, targets: np.ndarray, size: int) -> list[np.ndarray]:
-    """Weights of each category's model. targets: (rows, categories) of 0 and 1."""
-    n = len(targets)
+def chain(row: np.ndarray, word: np.ndarray, vocabularies: list[np.ndarray], targets: list[np.ndarray]) -> list[np.ndarray]:
+    """Weights of each category's model over the last vocabulary.
+
+    `vocabularies` and `targets`, (rows, categories) of 0 and 1, are those mined without each fold,
+    then those of all rows. A row's out-of-fold probability comes of a model, a vocabulary and
+    targets that never saw its label.
+    """
+    n = len(targets[-1])
     fold = np.arange(n) % FOLDS
     earlier = np.zeros((n, 0))
     models = []
-    for k in range(targets.shape[1]):
-        y = targets[:, k].astype(float)
-        models.append(logistic(row, at, earlier, y, size))
+    for k in range(targets[-1].shape[1]):
         left_out = np.zeros(n)
-        for f in range(FOLDS):
+        for f, (names, aim) in enumerate(zip(vocabularies, targets, strict=True)):
+            at, ok = found_in(names, word)
+            own, at = row[ok], at[ok]
+            if f == FOLDS:
+                models.append(logistic(own, at, earlier, aim[:, k].astype(float), len(names)))
+                continue
             inside, outside = fold != f, fold == f
             renumber = np.cumsum(inside) - 1
-            mine = inside[row]
-            w = logistic(renumber[row[mine]], at[mine], earlier[inside], y[inside], size)
-            left_out[outside] = predict(row, at, earlier, w, n)[outside]
+            mine = inside[own]
+            w = logistic(renumber[own[mine]], at[mine], earlier[inside], aim[inside, k].astype(float), len(names))
+            left_out[outside] = predict(own, at, earlier, w, n)[outside]
         earlier = np.column_stack([earlier, left_out])
     return models
 
@@ -145,17 +153,25 @@ def fit(table: pa.Table) -> bytes:
         labels.append(step["label"].to_numpy(zero_copy_only=False).astype(float))
         base += step.num_rows
     once_row, once, y = np.concatenate(rows), np.concatenate(words_), np.concatenate(labels)
-    vocabulary, lexicon = mined(once_row, once, y)
-    hits, base = np.zeros(len(y), np.int64), 0
+    fold = np.arange(len(y)) % FOLDS
+    vocabularies, lexicons = [], []
+    for f in range(FOLDS + 1):  # without each fold, then of all rows
+        inside = fold != f
+        mine = inside[once_row]
+        names, sure = mined((np.cumsum(inside) - 1)[once_row[mine]], once[mine], y[inside])
+        vocabularies.append(names)
+        lexicons.append(sure)
+    hits, base = np.zeros((FOLDS + 1, len(y)), np.int64), 0
     for step in (x for batch in batches for x in steps(batch)):  # again, rather than holding all words
         forms, first = letters(step["text"])
-        marked = found_in(lexicon, forms.ravel())[1].reshape(forms.shape).any(axis=1)
-        own = np.repeat(np.arange(step.num_rows), np.diff(first))[marked]
-        hits[base : base + step.num_rows] = np.bincount(own, minlength=step.num_rows)
+        own = np.repeat(np.arange(step.num_rows), np.diff(first))
+        for f, lexicon in enumerate(lexicons):
+            marked = found_in(lexicon, forms.ravel())[1].reshape(forms.shape).any(axis=1)
+            hits[f, base : base + step.num_rows] = np.bincount(own[marked], minlength=step.num_rows)
         base += step.num_rows
-    targets = np.column_stack([hits >= 1, hits >= 2, y == 1])
-    at, ok = found_in(vocabulary, once)
-    models = chain(once_row[ok], at[ok], targets, len(vocabulary))
+    targets = [np.column_stack([h >= 1, h >= 2, y == 1]) for h in hits]
+    models = chain(once_row, once, vocabularies, targets)
+    vocabulary = vocabularies[-1]
     out = io.BytesIO()
     np.savez(out, vocabulary=vocabulary, **{f"w{k}": w for k, w in enumerate(models)})
     return out.getvalue()

@@ -12,6 +12,7 @@ import brute  # noqa: E402
 
 from shoprec.llm.common import crc_mod  # noqa: E402
 from shoprec.llm.hmm import Model, Settings, expected_counts, language_model_scores, padded_of  # noqa: E402
+from shoprec.llm.labelled import sample  # noqa: E402
 from shoprec.llm.quality_classifier import coordinate_descent, score_quality  # noqa: E402
 from shoprec.llm.quality_rules import measures, quality_by_votes  # noqa: E402
 from shoprec.llm.toxicity import learn, score_toxicity, without_toxic  # noqa: E402
@@ -174,3 +175,17 @@ def test_toxicity_chain(spark):
     assert learn(docs, labelled(spark, [], "toxic")) == b""
     assert score_toxicity(docs, b"").where("toxic = 1").count() == 0
     assert without_toxic(docs, b"").count() == 404 and score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_models_do_not_depend_on_the_order_of_rows(spark):
+    rnd = random.Random(21)
+    rows = [(i, prose(rnd, 40) + (" grumpf" if i % 5 == 0 and i % 3 else "") + (" fine" if i % 4 else "")) for i in range(300)]
+    rows += [(8, prose(rnd, 30)) for _ in range(200)]  # one id with many texts
+    docs = frame(spark, rows)
+    mixed = frame(spark, rnd.sample(rows, len(rows))).repartition(13)
+    tox = labelled(spark, [(i, int(i % 5 == 0)) for i in range(300)], "toxic")
+    fine = labelled(spark, [(i, int(i % 4 > 0)) for i in range(300)], "quality")
+    assert sample(docs, tox, "toxic", 300).count() == 300
+    assert learn(docs, tox) == learn(mixed, tox.repartition(5))
+    got = [sorted((r.doc_id, r.score) for r in score_quality(d, fine, rows=200).collect()) for d in (docs, mixed)]
+    assert got[0] == got[1]
