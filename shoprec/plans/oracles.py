@@ -335,6 +335,9 @@ ORACLES: dict[str, str] = {
     "load_ratings": _with(RATINGS, select="SELECT userId, productId, score, timestamp FROM ratings"),
     "recs_lookup": _with(RATINGS, PRODUCTS, MEANS, ITEM_CF, select=_hydrated(
         "(SELECT * FROM itemcf WHERE rank <= 5)", "r.productId, r.rank, r.score")),
+    "bucketed_lookup": _with(RATINGS, PRODUCTS, MEANS, ITEM_CF, select="""
+        SELECT p.productId, name, round(coalesce(m.avg, 0), 6) AS avg, i.recProductId, i.rank, i.score
+        FROM products p LEFT JOIN means m ON m.productId = p.productId JOIN itemcf i ON i.productId = p.productId"""),
     "content_lookup": _with(RATINGS, *_CONTENT, CONTENT_TOP, MEANS, select=_hydrated(
         "(SELECT * FROM content_top WHERE rank <= 5 AND productId IN (SELECT productId FROM ratings))",
         "r.productId, r.rank, r.score")),

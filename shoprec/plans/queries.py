@@ -12,7 +12,7 @@ from shoprec.operators import accounts, content, cooccur, factors, mips, ranking
 from shoprec.schemas import RATING, conform
 from shoprec.session import keep, work_dir
 from shoprec.sources import retail, text, topic
-from shoprec.sources.tables import load_table, save_table
+from shoprec.sources.tables import load_table, save_bucketed, save_table
 from shoprec.streaming import queues, replay
 
 NUM = 20
@@ -447,6 +447,24 @@ def recs_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return _hydrated(found, spark, sf, "productId", "rank", "score")
 
 
+def bucketed_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Products, mean scores and co-rating lists, in the same buckets of the product."""
+    root, buckets = work_dir(spark, "bucketed"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    save = lambda df, name: save_bucketed(df, root, name, "productId", buckets)
+    return (
+        save(retail.products(spark, sf), "products"),
+        save(stats.average_score(retail.ratings(spark, sf)), "average_score"),
+        save(itemcf_topk(spark, sf), "itemcf_recs"),
+    )
+
+
+def bucketed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every product with its mean score and list, from bucketed tables: no row is moved."""
+    products, means, lists = bucketed_tables(spark, sf)
+    named = serving.with_average(products, means).select("productId", "name", rounded(F.col("avg")).alias("avg"))
+    return named.join(lists.select("productId", "recProductId", "rank", "score"), "productId")
+
+
 def content_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """First similar products of every rated product."""
     keys = serving.entities(retail.ratings(spark, sf), "productId")
@@ -518,7 +536,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         als_item_sim, als_fit_check, als_lists_check, als_holdout, als_grid, rating_split, rmse, latest_ratings, rating_queue,
         rating_upsert, stream_candidates, stream_scores, stream_replay, stream_two_batches, stream_queue, stream_from_position, fold_in, user_recs_lookup, registrations,
         preference_update, parse_rating_log, rejected_rating_log, format_rating_log, rating_documents, rejected_rating_documents,
-        load_products, load_ratings, recs_lookup, content_lookup, recs_by_username,
+        load_products, load_ratings, recs_lookup, bucketed_lookup, content_lookup, recs_by_username,
         product_search, product_search_indexed, product_info, user_by_name, score_scale, user_hash,
     )
 }

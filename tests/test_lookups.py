@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shoprec.operators import factors, ranking, realtime, search, serving
 from shoprec.schemas import RATING
 from shoprec.sources import text, topic
+from shoprec.sources.tables import save_bucketed
 from shoprec.streaming import queues
 
 ONCE = {"availableNow": True}
@@ -141,3 +142,23 @@ def test_indexed_search_finds_what_the_expression_finds(spark, tmp_path):
         assert {r["name"] for r in got.collect()} == {n for n in names if n is not None and re.search(pattern, n)}
     plan = search.candidates(spark, str(tmp_path), search.needed("spring"))._jdf.queryExecution().toString()
     assert "In(gram" in plan
+
+
+def test_bucketed_tables_are_joined_without_an_exchange(spark, tmp_path):
+    one = spark.createDataFrame([(i, f"p{i}") for i in range(300)], "productId int, name string")
+    many = spark.createDataFrame([(i % 300, i) for i in range(900)], "productId int, other int")
+    empty = one.limit(0)
+    a, b, c = (save_bucketed(df, str(tmp_path), name, "productId", 4) for df, name in ((one, "one"), (many, "many"), (empty, "none")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        met = a.join(b, "productId")
+        counted = met.groupBy("productId", "name").agg(F.sum("other").alias("sum"))
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert {r["productId"]: r["sum"] for r in counted.collect()} == {i: 3 * i + 900 for i in range(300)}
+        assert a.join(c, "productId", "left_semi").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    save_bucketed(one.limit(10), str(tmp_path), "one", "productId", 2)  # in place of the older table
+    assert spark.read.parquet(str(tmp_path / "one")).count() == 10
