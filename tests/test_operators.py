@@ -135,6 +135,23 @@ def test_cooccurrence_equals_plain_self_join_with_a_hot_user(ratings, monkeypatc
         assert r["sim"] == pytest.approx(n / math.sqrt(a * b), abs=1e-6)
 
 
+@pytest.mark.parametrize("basket, pairs", [(3, 50), (1000, 7)])
+def test_cooccurrence_over_many_blocks_and_split_baskets(ratings, basket, pairs):
+    rng = random.Random(basket)
+    data = [(0, p) for p in range(-5, 25)] + [(rng.randrange(1, 8), rng.randrange(30)) for _ in range(90)]
+    got = cooccur.counts(ratings(*[(u, p, 1.0) for u, p in data]), basket=basket, pairs=pairs).collect()
+    expected = brute_cooccurrence(data)
+    assert len(got) == len(expected)
+    assert {(r["product1"], r["product2"]): (r["cocount"], r["count1"], r["count2"]) for r in got} == expected
+
+
+def test_pairs_are_counted_without_an_exchange_of_pairs(ratings):
+    """A user of n products has n * n pairs; only the baskets and the best of each product are moved."""
+    plan = cooccur.cooccurrence(ratings(*[(1, p, 1.0) for p in range(40)]))._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Exchange")]
+    assert "MapInArrow" in above and "Aggregate" not in above and "SortMergeJoin" not in plan
+
+
 def test_duplicate_ratings_weigh_in(ratings):
     r = ratings((1, 10, 5.0), (1, 10, 5.0), (1, 11, 3.0), (2, 11, 4.0))
     assert rows(cooccur.cooccurrence(r), "product1", "product2", "cocount", "count1", "count2") == [
