@@ -75,6 +75,28 @@ def test_queues_of_a_stream_equal_those_of_the_batch(spark, tmp_path):
     assert sorted(got.collect()) == sorted(wanted.select("userId", "seq", "productId", "score", "timestamp").collect())
 
 
+@pytest.mark.parametrize("keys", [1, 3])
+def test_users_who_share_a_key_keep_their_own_queues(spark, tmp_path, keys):
+    kind = "userId int, productId int, score double, timestamp bigint, place bigint"
+    rnd = random.Random(keys)
+    rows = [(rnd.randrange(7), rnd.randrange(30), 1.0, rnd.randrange(60), i) for i in range(200)]
+    frame = lambda some: spark.createDataFrame(some, kind).coalesce(1)
+    frame([r for r in rows[150:] if r[0] != 3]).write.parquet(f"{tmp_path}/in/1")
+    events = spark.readStream.schema(kind).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+
+    def log(df, batch):
+        df.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{tmp_path}/log/part={batch}")
+
+    queues.start_recent_queues(
+        events, str(tmp_path / "progress"), log, frame(rows[:150]), cap=10, trigger=ONCE, keys=keys
+    ).awaitTermination()
+    got = queues.newest_queues(spark.read.parquet(f"{tmp_path}/log")).select("userId", "seq", "productId", "timestamp")
+    touched = {r[0] for r in rows[150:] if r[0] != 3}
+    used = [r for i, r in enumerate(rows) if i < 150 or r[0] != 3]
+    wanted = ranking.latest_n(frame(used), 10, order=("timestamp", "place", "productId", "score")).where(F.col("userId").isin(list(touched)))
+    assert sorted(got.collect()) == sorted(wanted.select("userId", "seq", "productId", "timestamp").collect())
+
+
 def test_documents_there_and_back(spark, ratings):
     rows = ratings((1, 2, 3.5, 10), (2, 3, 1.0, 20))
     good, bad = text.parse_documents(text.to_documents(rows).withColumn("at", F.lit(7)), RATING)
