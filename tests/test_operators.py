@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from shoprec.functions import scalars
 from shoprec.operators import accounts, content, cooccur, factors, pairs, ranking, realtime, serving, stats, vectors
 from shoprec.schemas import USER, conform
+from shoprec.streaming import replay
 
 
 def rows(df, *columns):
@@ -385,6 +386,43 @@ def test_only_the_newest_event_of_a_user_is_scored(spark, ratings):
     assert [(x["productId"], x["score"]) for x in got["recs"]] == [(6, 4.0)]
 
 
+def test_upsert_with_nulls_and_one_shuffle_of_the_table(ratings):
+    events = ratings((1, 10, 5.0, 100), (None, 10, 2.0, 90), (3, 30, 4.0, 80))
+    old = ratings((1, 10, 1.0, 7), (1, 10, 2.0, 6), (None, 10, 1.0, 5), (1, None, 3.0, 4), (2, 20, 1.0, 3), (2, 20, 1.0, 3))
+    got = realtime.upsert_ratings(events, old)
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted([
+        (1, 10, 5.0, 6), (None, 10, 2.0, 90), (3, 30, 4.0, 80), (None, 10, 1.0, 5), (1, None, 3.0, 4), (2, 20, 1.0, 3), (2, 20, 1.0, 3),
+    ], key=key)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_history_is_the_difference_of_bags(spark):
+    kind = "userId int, productId int, score double, timestamp bigint, orderkey bigint, linenumber int"
+    rng = random.Random(4)
+    rows_ = [(rng.choice([None, 1, 2, 3]), rng.randrange(3), 1.0, rng.choice([None, 5, 6]), 1, 1) for _ in range(60)]
+    ratings = spark.createDataFrame(rows_, kind)
+    for n in (1, 3):
+        events, history = replay.live_and_history(ratings, n)
+        assert Counter(history.collect()) == Counter(ratings.exceptAll(events.drop("seq")).collect())
+        assert "Aggregate" not in history._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_by_meeting_rows_equal_scores_by_pairs(spark, ratings):
+    words = ["a|b|c", "a|b|d", "a|b|c", "d|e", "a|e|f", "b|c|d", "x"]
+    sims = content.TagSimilarities(make_products(spark, words), min_sim=0.1)
+    cands = spark.createDataFrame([(u, p) for u in (1, 2) for p in range(7)], "userId int, candidate int")
+    recent = ratings(*[(u, p, float(1 + (u + p) % 5)) for u in (1, 2, 3) for p in range(0, 7, u)])
+
+    class Pairs:
+        between = sims.between
+
+    columns = ("userId", "recProductId", "score", "rank")
+    got = realtime.score_candidates(cands, recent, sims, 0.2)
+    assert rows(got, *columns) == rows(realtime.score_candidates(cands, recent, Pairs(), 0.2), *columns)
+    assert got.count() > 6
+
+
 def test_queue_keeps_40_and_repeats(ratings):
     old = ratings(*[(1, i, 3.0, i) for i in range(41)])
     queue = realtime.push_recent(ratings((1, 40, 5.0, 99)), old)
