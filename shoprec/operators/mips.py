@@ -3,8 +3,9 @@
 Items lie in parts of falling length. A first round takes each query to the part of the longest
 items, which gives it k products; its k-th is a bound. As |q . v| <= |q| |v|, a query needs a later
 part only while the length of the query times the part's greatest length reaches that bound, so it
-stops at a place that is known before the second round. Queries that stop alike are put into blocks,
-and a block is sent to the parts before that place and to no other.
+stops at a place that is known before the second round. Queries that stop alike are put into blocks.
+Neighbouring parts share a shelf; a block is sent once to each shelf before that place and to no other,
+and meets the shelf's parts up to that place there.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from shoprec.session import keep
 
 #: Items of a part, queries of a block, blocks that meet a part in one task, about.
 PART, BLOCK, TOGETHER = 8192, 2048, 16
+#: Items of a shelf and queries that meet it in one task, at most, shelves and groups of queries if there are fewer,
+#: and products that a task holds at once.
+SIDE, WAYS, FRAME = 65_536, 8, 4_000_000
 _SLACK = 2.0 * 10.0**-DIGITS  # more than rounding can move a product
 
 _PARTS = "part int, ids binary, vectors binary, longest double"
@@ -114,12 +118,19 @@ def _later(first: DataFrame, parts: DataFrame, k: int, above: float | None, bloc
     left = first.where(F.col("last") > 0).select("id", "features", "bound", "last")
     count = left.count()
     ways = max(1, min(-(-count // block), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    salts = max(1, -(-count // (block * together)))
+    # What is moved grows with shelves x queries and groups of queries x items.
+    salts = max(1, -(-count // max(block * together, min(SIDE, -(-count // WAYS)))))
+    size = F.length("ids") / 4
+    held = parts.where(F.col("part") > 0).agg(F.max(size).alias("most"), F.sum(size).alias("items")).first()
+    most, items = int(held["most"] or 1), int(held["items"] or 0)
+    shelf = max(1, min(SIDE, -(-items // WAYS)) // most)  # parts of one
+    frame = FRAME
     placed = left.repartitionByRange(ways, F.col("last").desc(), "id").sortWithinPartitions(F.col("last").desc(), "id")
     floor, digits = -np.inf if above is None else above, DIGITS
     names = ["part", "salt", "kind", "ids", "vectors", "bounds"]
     types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     schema = "part int, salt int, kind int, ids binary, vectors binary, bounds binary"
+    on_shelf = F.floor((F.col("part") - 1) / shelf).cast("int")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -138,42 +149,51 @@ def _later(first: DataFrame, parts: DataFrame, k: int, above: float | None, bloc
                 row = [last, number % salts, 1, *blobs]
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], names)
 
-    # A block goes to the parts up to the last one of its queries, a part to each salt.
-    blocks = placed.mapInArrow(pack, schema).withColumn("part", F.explode(F.sequence(F.lit(1), F.col("part"))))
+    # A block goes to the shelves up to that of the last part of its queries, a shelf to each salt.
+    blocks = placed.mapInArrow(pack, schema).withColumn("shelf", F.explode(F.sequence(F.lit(0), on_shelf)))
     homes = parts.where(F.col("part") > 0).select(
         "part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(0).alias("kind"), "ids", "vectors",
-        F.lit(b"").alias("bounds"),
+        F.lit(b"").alias("bounds"), on_shelf.alias("shelf"),
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        home, ids, vectors = None, np.empty(0, "<i4"), np.empty((0, 0))
+        home, shelves = None, []
+        ids, vectors, places = np.empty(0, "<i4"), np.empty((0, 0)), np.empty(0, int)
         for batch in batches:
             for row in (batch.slice(j, 1).to_pylist()[0] for j in range(batch.num_rows)):
                 own = np.frombuffer(row["ids"], "<i4")
                 rows = np.frombuffer(row["vectors"], "<f8").reshape(len(own), -1)
                 if row["kind"] == 0:
-                    home, ids, vectors = (row["part"], row["salt"]), own, rows
+                    if home != (row["shelf"], row["salt"]):
+                        home, shelves = (row["shelf"], row["salt"]), []
+                    shelves.append((own, rows, np.full(len(own), row["part"])))
                     continue
-                if home != (row["part"], row["salt"]):
-                    continue  # a part without items
+                if home != (row["shelf"], row["salt"]):
+                    continue  # a shelf without items
+                if shelves:
+                    ids, vectors, places = (np.concatenate(x) for x in zip(*shelves, strict=True))
+                    shelves = []
                 bound, last = np.frombuffer(row["bounds"]).reshape(2, -1)
-                some = np.flatnonzero(last >= row["part"])
-                scores = np.round(rows[some] @ vectors.T, digits)
-                keep_ = (scores >= bound[some][:, None]) & (scores > floor)
-                full = np.flatnonzero(keep_.sum(axis=1) > k)
-                for i in full.tolist():
-                    good = np.flatnonzero(keep_[i])
-                    best = good[np.lexsort((ids[good], -scores[i, good]))][:k]
-                    keep_[i] = False
-                    keep_[i, best] = True
-                at, to = np.nonzero(keep_)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[some][at], pa.int32()), pa.array(ids[to], pa.int32()), pa.array(scores[at, to])],
-                    ["id", "other", "score"],
-                )
+                some = np.flatnonzero(last >= places[0])
+                step = max(1, frame // len(ids))
+                for at_once in (some[i : i + step] for i in range(0, len(some), step)):
+                    end = np.searchsorted(places, last[at_once].max(), side="right")
+                    scores = np.round(rows[at_once] @ vectors[:end].T, digits)
+                    keep_ = (scores >= bound[at_once][:, None]) & (scores > floor)
+                    full = np.flatnonzero(keep_.sum(axis=1) > k)
+                    for i in full.tolist():
+                        good = np.flatnonzero(keep_[i])
+                        best = good[np.lexsort((ids[good], -scores[i, good]))][:k]
+                        keep_[i] = False
+                        keep_[i, best] = True
+                    at, to = np.nonzero(keep_)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own[at_once][at], pa.int32()), pa.array(ids[to], pa.int32()), pa.array(scores[at, to])],
+                        ["id", "other", "score"],
+                    )
 
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met = homes.unionByName(blocks).repartition(width, "part", "salt").sortWithinPartitions("part", "salt", "kind")
+    met = homes.unionByName(blocks).repartition(width, "shelf", "salt").sortWithinPartitions("shelf", "salt", "kind", "part")
     return met.mapInArrow(search, "id int, other int, score double")
 
 

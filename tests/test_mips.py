@@ -74,3 +74,19 @@ def test_user_lists_are_the_best_of_all_products(spark, ratings):
     wanted = sorted((q, r, s) for q, _, s, r in brute(u, v, 7, 0.0))
     assert [r[:2] for r in got] == [r[:2] for r in wanted]
     assert np.allclose([r[2] for r in got], [r[2] for r in wanted], atol=2e-6)
+
+
+def test_parts_share_shelves(spark, monkeypatch):
+    """A block goes once to a shelf, not once to each of its parts, and lists stay exact on shelves of any size."""
+    rnd = random.Random(11)
+    items, queries = vectors(rnd, 300, 5, lambda i: 1.0), vectors(rnd, 40, 5, lambda i: 1.0)
+    wanted = brute(queries, items, 4, None)
+    for side, frame in ((16, 64), (50, 1000), (65_536, 4_000_000)):
+        monkeypatch.setattr(mips, "SIDE", side)
+        monkeypatch.setattr(mips, "FRAME", frame)
+        got = mips.max_products(spark.createDataFrame(queries, KIND), spark.createDataFrame(items, KIND), 4, part=10, block=8, together=2)
+        assert sorted((r["id"], r["other"], r["rank"]) for r in got.collect()) == [(q, i, r) for q, i, _, r in wanted]
+    parts, longest = mips.item_parts(spark.createDataFrame(items, KIND), 10)
+    first = mips.first_lists(spark.createDataFrame(queries, KIND), parts, longest, 4, block=8).persist()
+    sent = mips._later(first, parts, 4, None, 8, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "shelf" in sent and len(longest) >= 25
