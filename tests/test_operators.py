@@ -485,3 +485,21 @@ def test_worker_functions_need_no_package_on_the_worker(make):
     load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'shoprec' not in sys.modules"
     environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(make()), cwd="/", env=environment, check=True)
+
+
+def test_a_vector_goes_once_to_a_shelf(spark, monkeypatch):
+    """Without clusters every cell may hold a match; a vector is sent to the few shelves, not to the cells."""
+    monkeypatch.setattr(vectors, "SIDE", 60)
+    data = np.random.default_rng(8).normal(size=(240, 16))
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    seen = []
+    visits = vectors._visits
+    monkeypatch.setattr(vectors, "_visits", lambda *x: seen.append(visits(*x)) or seen[-1])
+    got = rows(vectors.cosine_sim(make_vectors(spark, data), k=3, min_sim=0.1, block=10), "productId", "rank", "recProductId", "score")
+    assert [x[:3] for x in got] == [x[:3] for x in brute_lists(unit @ unit.T, range(240), 3, 0.1)]
+    most = seen[0].groupBy("sig").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 240 // 30  # of 96 cells
+
+    cells = [{"cell": c, "radius": 1.0, "n": n} for c, n in ((0, 5), (1, 5), (3, 130), (4, 50))]
+    _, first, parts, side = vectors._shelves(cells, 60)
+    assert side == 60 and first.tolist() == [0, 0, 0, 1, 4] and parts.tolist() == [1, 1, 0, 3, 1]
