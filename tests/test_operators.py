@@ -220,6 +220,24 @@ def test_content_equals_pairwise_cosine(spark, monkeypatch, k):
     assert rows(got, "productId", "rank", "recProductId", "score") == expected
 
 
+def test_content_classes_hold_all_pairs_without_writing_out_copies(spark, monkeypatch):
+    monkeypatch.setattr(pairs.pairs_within, "__defaults__", ((), None, None, 4))
+    tags = [*skewed_tags(9, 60), *["|".join(reversed(t.split("|"))) for t in skewed_tags(9, 60)], *["common"] * 3]
+    products = make_products(spark, tags)
+    found = content.content_sim(products, classes=True).collect()
+    alike = {(r["productId"], r["recProductId"]): r["score"] for r in found if r["kind"] == "pair"}
+    of = {r["productId"]: r["recProductId"] for r in found if r["kind"] == "member"}
+    bags = ["|".join(sorted(t.split("|"))) for t in tags]
+    assert all(of[p] == bags.index(bags[p]) for p in of)
+    assert len(found) == len(of) + len(alike) and {p for x in alike for p in x} <= set(of.values())
+    got = sorted(
+        (a, b, 1.0 if of[a] == of[b] else alike[of[a], of[b]])
+        for a in of for b in of if a != b and (of[a] == of[b] or (of[a], of[b]) in alike)
+    )
+    assert got == rows(content.content_sim(products), "productId", "recProductId", "score")
+    assert len(found) < len(got) / 2
+
+
 def test_hashed_content_equals_pairwise_cosine_over_buckets(spark):
     tags = skewed_tags(2, 40)
     words = sorted({w for t in tags for w in t.split("|")})
