@@ -8,6 +8,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 from collections import Counter
 
 import numpy as np
@@ -351,6 +352,21 @@ def test_grid(taste):
     assert factors.best(results).first() == min(found, key=lambda r: (r["rmse"], r["rank"], r["lambda"]))
 
 
+def test_grid_leaves_no_shuffle_files(spark, taste):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        names = [name.rsplit("/", 1)[-1] for name in disk.getAllFiles().mkString("\n").split("\n")]
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before = files()
+    factors.grid_search(taste, ranks=(2, 3), regs=(0.1,), iterations=3).collect()
+    until = time.time() + 20
+    while len(files() - before) > 150 and time.time() < until:
+        time.sleep(0.5)
+    assert len(files() - before) <= 150  # 208 while all files of the fits stay
+
+
 # live recommendations
 
 
