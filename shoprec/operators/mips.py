@@ -26,6 +26,8 @@ PART, BLOCK, TOGETHER = 8192, 2048, 16
 #: Items of a shelf and queries that meet it in one task, at most, shelves and groups of queries if there are fewer,
 #: and products that a task holds at once.
 SIDE, WAYS, FRAME = 65_536, 8, 4_000_000
+#: Items of the first part that give a query its first bound.
+HEAD = 2048
 _SLACK = 2.0 * 10.0**-DIGITS  # more than rounding can move a product
 
 _PARTS = "part int, ids binary, vectors binary, longest double"
@@ -77,7 +79,7 @@ def first_lists(queries: DataFrame, parts: DataFrame, longest: np.ndarray, k: in
     """(id, features, bound, last, found) of each query: its best in the first part, the product that
     others must reach, and the last part that may hold one."""
     floor = -np.inf if above is None else above
-    slack, digits = _SLACK, DIGITS
+    slack, digits, some = _SLACK, DIGITS, HEAD
     # About `part` items, whatever the number of items.
     row = parts.where(F.col("part") == 0).first()
     ids = np.frombuffer(row["ids"] if row else b"", "<i4")
@@ -89,23 +91,30 @@ def first_lists(queries: DataFrame, parts: DataFrame, longest: np.ndarray, k: in
             for at in range(0, batch.num_rows, block):
                 rows = batch.slice(at, block)
                 q = np.array(rows["features"].to_pylist(), float)
-                scores = np.round(q @ flat.reshape(len(ids), q.shape[1]).T, digits)
-                bounds, lists = np.full(len(q), floor), []
-                for i, row in enumerate(scores):
-                    good = np.flatnonzero(row > floor)
-                    if len(good) > k:
-                        good = good[row[good] >= np.partition(row[good], -k)[-k]]
-                    best = good[np.lexsort((ids[good], -row[good]))][:k]
-                    if len(best) == k:
-                        bounds[i] = row[best[-1]]
-                    lists.append([{"other": int(ids[j]), "score": float(row[j])} for j in best])
+                raw = q @ flat.reshape(len(ids), q.shape[1]).T
+                # The k-th product of the longest items is a bound for the k-th of all.
+                low, head = np.full(len(q), -np.inf), raw[:, :some]
+                if head.shape[1] >= k:
+                    low = np.partition(np.where(np.isnan(head), -np.inf, head), -k, axis=1)[:, -k]
+                at, to = np.nonzero(raw >= np.maximum(low, floor)[:, None] - slack)
+                scores = np.round(raw[at, to], digits)
+                at, to, scores = (x[scores > floor] for x in (at, to, scores))
+                order = np.lexsort((ids[to], -scores, at))
+                at, to, scores = at[order], to[order], scores[order]
+                best = np.arange(len(at)) - np.searchsorted(at, at) < k
+                at, to, scores = at[best], to[best], scores[best]
+                counts = np.bincount(at, minlength=len(q))
+                ends = np.cumsum(counts)
+                bounds = np.full(len(q), floor)
+                bounds[counts == k] = scores[ends[counts == k] - 1]
                 length = np.sqrt((q * q).sum(axis=1))
                 # A part is needed while length x longest >= bound; lengths of parts fall.
                 reach = np.where(length > 0, (bounds - slack) / np.where(length > 0, length, 1.0), np.where(bounds > slack, np.inf, -np.inf))
                 last = np.searchsorted(-longest, -reach, side="right") - 1
-                kind = pa.list_(pa.struct([("other", pa.int32()), ("score", pa.float64())]))
+                entries = pa.StructArray.from_arrays([pa.array(ids[to], pa.int32()), pa.array(scores)], ["other", "score"])
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), entries)
                 yield pa.RecordBatch.from_arrays(
-                    [rows["id"], rows["features"], pa.array(bounds), pa.array(last.astype(np.int32)), pa.array(lists, kind)],
+                    [rows["id"], rows["features"], pa.array(bounds), pa.array(last.astype(np.int32)), lists],
                     ["id", "features", "bound", "last", "found"],
                 )
 

@@ -90,3 +90,18 @@ def test_parts_share_shelves(spark, monkeypatch):
     first = mips.first_lists(spark.createDataFrame(queries, KIND), parts, longest, 4, block=8).persist()
     sent = mips._later(first, parts, 4, None, 8, 2)._jdf.queryExecution().executedPlan().toString()
     assert "shelf" in sent and len(longest) >= 25
+
+
+@pytest.mark.parametrize("above", [None, 0.0])
+def test_bound_of_few_long_items_keeps_ties_and_later_items(spark, monkeypatch, above):
+    monkeypatch.setattr(mips, "HEAD", 5)
+    rng = np.random.default_rng(8)
+    data = rng.integers(-2, 3, (150, 3)).astype(float)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id int, features array<double>")
+    got = sorted(tuple(r) for r in mips.max_products(table, table, 4, above).select("id", "rank", "other", "score").collect())
+    products = data @ data.T
+    expected = []
+    for i, row in enumerate(products):
+        good = [(-s, j) for j, s in enumerate(row) if above is None or s > above]
+        expected += [(i, n, j, -s) for n, (s, j) in enumerate(sorted(good)[:4], 1)]
+    assert got == expected
