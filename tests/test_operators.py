@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from shoprec.functions import scalars
 from shoprec.operators import accounts, content, cooccur, factors, pairs, ranking, realtime, serving, stats, vectors
+from shoprec.plans.queries import QUERIES
 from shoprec.schemas import USER, conform
 from shoprec.streaming import replay
 
@@ -239,6 +240,17 @@ def test_content_classes_hold_all_pairs_without_writing_out_copies(spark, monkey
     assert len(found) < len(got) / 2
 
 
+def test_content_query_writes_out_the_pairs_of_copies(spark, tmp_path):
+    kinds = [("almond red", "B1", "STEEL"), ("almond red", "B1", "STEEL"), ("red almond", "B1", "STEEL"), ("blue lace", "B2", "TIN"),
+             ("blue mint", "B2", "TIN"), ("rose", "B3", "NICKEL")]
+    parts = spark.createDataFrame([(i, *k) for i, k in enumerate(kinds)], "p_partkey bigint, p_name string, p_brand string, p_type string")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    tags = ["|".join([*name.split(" "), brand, kind]) for name, brand, kind in kinds]
+    found = ranking.top_k(QUERIES["content_sim"](spark, str(tmp_path)), "productId", "score", "recProductId")
+    assert rows(found, "productId", "rank", "recProductId", "score") == brute_lists(tag_sims(tags), range(6), None, 0.4)
+    assert found.where("productId < 3 and recProductId < 3 and score = 1").count() == 6
+
+
 def test_hashed_content_equals_pairwise_cosine_over_buckets(spark):
     tags = skewed_tags(2, 40)
     words = sorted({w for t in tags for w in t.split("|")})
