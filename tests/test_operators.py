@@ -20,6 +20,7 @@ from shoprec.functions import scalars
 from shoprec.operators import accounts, content, cooccur, factors, pairs, ranking, realtime, serving, stats, vectors
 from shoprec.plans.queries import QUERIES
 from shoprec.schemas import USER, conform
+from shoprec.session import stored
 from shoprec.streaming import replay
 
 
@@ -155,6 +156,38 @@ def test_pairs_are_counted_without_an_exchange_of_pairs(ratings):
     assert "MapInArrow" in above and "Aggregate" not in above and "SortMergeJoin" not in plan
 
 
+def test_lists_counted_in_rounds_equal_lists_counted_at_once(ratings, monkeypatch):
+    rng = random.Random(5)
+    data = [(0, p) for p in range(-5, 25)] + [(rng.randrange(1, 8), rng.randrange(30)) for _ in range(90)]
+    r = ratings(*[(u, p, 1.0) for u, p in data])
+    expected = rows(cooccur.counts(r, 4), "product1", "product2", "cocount", "count1", "count2")
+    made = []
+    monkeypatch.setattr(cooccur, "ROUND", 300)
+    monkeypatch.setattr(cooccur, "stored", lambda df, name: made.append(name) or stored(df, name))
+    for basket in (3, 1000):
+        made.clear()
+        assert rows(cooccur.counts(r, 4, basket, 40), "product1", "product2", "cocount", "count1", "count2") == expected
+        assert made.count("co-rated") > 2
+
+
+def test_baskets_are_dealt_in_few_bytes_and_leave_no_shuffle_files(spark, ratings):
+    rng = random.Random(6)
+    data = [(u, p) for u in range(300) for p in rng.sample(range(50_000), 40)]
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().shuffleManager().shuffleBlockResolver()
+    before = held.getStoredShuffles().size()
+    baskets = cooccur._baskets(ratings(*[(u, p, 1.0) for u, p in data]), 1024)
+    assert held.getStoredShuffles().size() <= before
+
+    def dealt(half):
+        rows = cooccur._packed(baskets, 100, True, half)
+        return rows.agg(F.sum(F.length("theirs")), F.count(F.lit(1))).first()
+
+    copies = 40 * len({(u, (p * 2654435761 % 2**32 >> 8) % 100) for u, p in data})
+    whole, half = dealt(False), dealt(True)
+    assert whole[0] < 4 * copies  # of 12 bytes, and one row for many baskets
+    assert half[0] < 0.65 * whole[0] and whole[1] < 300 * 10
+
+
 def test_duplicate_ratings_weigh_in(ratings):
     r = ratings((1, 10, 5.0), (1, 10, 5.0), (1, 11, 3.0), (2, 11, 4.0))
     assert rows(cooccur.cooccurrence(r), "product1", "product2", "cocount", "count1", "count2") == [
