@@ -397,6 +397,27 @@ def test_grid(taste):
     assert factors.best(results).first() == min(found, key=lambda r: (r["rmse"], r["rank"], r["lambda"]))
 
 
+def test_grid_tasks_are_bounded_by_blocks_and_large_fits_run_alone(taste, monkeypatch):
+    n = factors.split(taste)[0].count()
+    monkeypatch.setattr(factors, "TASK_BYTES", n)  # a quarter of a float for each rating
+    monkeypatch.setattr(factors, "SIDE_BYTES", 1)
+    made, running, make = [], [], factors._estimator
+
+    def estimator(*a, **k):
+        als = make(*a, **k)
+        running.append(als)
+        assert len(running) == 1
+        made.append((als.getRank(), als.getNumUserBlocks(), als.getNumItemBlocks()))
+        return als
+
+    monkeypatch.setattr(factors, "_estimator", estimator)
+    monkeypatch.setattr(factors, "_drop_files", lambda spark: running.clear())
+    results = factors.grid_search(taste, ranks=(2, 5), regs=(0.1,), iterations=3).collect()
+    assert sorted(made) == [(2, 10, 10), (5, 20, 20)]
+    assert sorted((r["rank"], r["lambda"]) for r in results) == [(2, 0.1), (5, 0.1)] and all(r["rmse"] < 1.5 for r in results)
+    assert factors.grid_blocks(10 * factors.TASK_RATINGS + 1, 0) == 11
+
+
 def test_grid_leaves_no_shuffle_files(spark, taste):
     disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
