@@ -523,6 +523,53 @@ def test_scores_by_meeting_rows_equal_scores_by_pairs(spark, ratings):
     assert got.count() > 6
 
 
+def test_meeting_rows_keep_repeats_and_columns_and_are_scored_by_matrices(spark):
+    sims = content.TagSimilarities(make_products(spark, ["a|b", "a|b", "a|c", "d", "e|f|a", "b"]))
+    left = spark.createDataFrame([(1, 0, "x"), (1, 0, "x"), (2, 2, "y"), (None, 0, "z"), (3, None, "w"), (4, 9, "v")], "userId int, candidate int, note string")
+    right = spark.createDataFrame([(1, 1, 5.0), (1, 1, 5.0), (1, 0, 4.0), (1, 2, 3.0), (2, 0, None), (2, 3, 1.0), (None, 1, 2.0)], "userId int, _rated int, _score double")
+    met = sims.meet(left, right, "userId", "candidate", "_rated")
+    assert met.columns == ["userId", "candidate", "note", "_rated", "_score", "_sim"]
+    alike = {(r["productId"], r["recProductId"]): r["score"] for r in sims.of(spark.range(6).select(F.col("id").cast("int").alias("productId"))).collect()}
+    expected = [
+        (*x, *y[1:], alike[x[1], y[1]])
+        for x in left.collect() for y in right.collect()
+        if x[0] is not None and x[0] == y[0] and (x[1], y[1]) in alike
+    ]
+    assert Counter(map(tuple, met.collect())) == Counter(expected) and (1, 0, "x", 1, 5.0, 1.0) in expected
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "element_at" not in plan
+
+
+def test_replay_holds_few_shuffles_and_makes_the_history_once(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    orders = [(o, o % 6, f"2020-01-{1 + o % 28:02d}") for o in range(40)]
+    lines = [(o, rng.randrange(60), n, float(rng.randrange(1, 50))) for o in range(40) for n in range(3)]
+    tables = {
+        "orders": spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, d string").selectExpr("o_orderkey", "o_custkey", "cast(d as timestamp) o_orderdate"),
+        "lineitem": spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double"),
+        "part": spark.createDataFrame([(p, f"w{p % 3} v{p % 2}", "B", f"T{p % 4}") for p in range(60)], "p_partkey bigint, p_name string, p_brand string, p_type string"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().shuffleManager().shuffleBlockResolver()
+    made, create = [], replay.State.create
+
+    def written(self, sims, ratings, queue):
+        made.append(ratings._jdf.queryExecution().executedPlan().toString())
+        return create(self, sims, ratings, queue)
+
+    monkeypatch.setattr(replay.State, "create", written)
+    before = held.getStoredShuffles().size()
+    state, _ = replay.run(spark, str(tmp_path), buckets=2)
+    until = time.time() + 20
+    while held.getStoredShuffles().size() - before > 30 and time.time() < until:
+        time.sleep(0.5)
+    assert held.getStoredShuffles().size() - before <= 30  # 80 while they wait for the driver's garbage
+    assert len(made) == 1 and "Exchange" not in made[0] and "Window" not in made[0]
+    wanted = rows(QUERIES["stream_scores"](spark, str(tmp_path)), "userId", "entries")
+    assert rows(state.recs(spark), "userId", F.size("recs")) == wanted and len(wanted) > 3
+
+
 def test_queue_keeps_40_and_repeats(ratings):
     old = ratings(*[(1, i, 3.0, i) for i in range(41)])
     queue = realtime.push_recent(ratings((1, 40, 5.0, 99)), old)
